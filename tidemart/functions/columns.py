@@ -12,18 +12,14 @@ from tidemart.schema import PURCHASE
 # Wide enough that summing never loses a cent: sums are decimal(38,6).
 EXACT_AMOUNT = "decimal(28,6)"
 
-# The characters a text field may consist of and still count as blank.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
-    "\u2028\u2029\u202f\u205f\u3000"
-)
-
-# Fixed value: the ISO-8601 profile that event times must follow.
-ISO_INSTANT = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.]\d{1,9})?)?)?(Z|[+-]\d{2}(:\d{2})?)?)?$"
-)
+# Fixed value: text that counts as blank; (?U) takes in every Unicode space.
+BLANK = r"(?U)^[\s\x1c-\x1f]*$"
+# The ISO-8601 profile that event times must follow, in full (or a bare date), and
+# with seconds, or minutes and seconds, left out.
+ISO_FULL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}([.]\d{1,9})?(Z|[+-]\d{2}(:\d{2})?)?)?$"
+ISO_SHORT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}(:\d{2})?(Z|[+-]\d{2}(:\d{2})?)?$"
+UP_TO_HOUR = r"^(.{13})(Z|[+-].*)?$"
+UP_TO_MINUTE = r"^(.{16})(Z|[+-].*)?$"
 # Fixed value: decimal number text, as accepted for an amount.
 NUMBER = r"^[+-]?(\d+([.]\d*)?|[.]\d+)([eE][+-]?\d+)?$"
 
@@ -57,14 +53,19 @@ def as_money(total: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE)) == F.lit("")
+    # Text that starts with a visible ASCII character needs no pattern match.
+    unsure = (text < F.lit("!")) | (text >= F.lit("\x7f"))
+    return unsure & text.rlike(BLANK)
 
 
 def parse_instant(text: Column) -> Column:
     """ISO-8601 text as a UTC instant, null when it does not follow the profile."""
-    # The guard keeps out what a bare cast would take, such as '2025' or '10:00'.
-    whole_hour = F.regexp_replace(text, r"([T ]\d{2})(Z|[+-]\d{2}(?::\d{2})?)?$", "$1:00$2")
-    return F.when(text.rlike(ISO_INSTANT), whole_hour.try_cast("timestamp"))
+    # The patterns keep out what a bare cast would take, such as '2025' or '10:00'.
+    to_minute = F.regexp_replace(text, UP_TO_HOUR, "$1:00$2")
+    to_second = F.regexp_replace(to_minute, UP_TO_MINUTE, "$1:00$2")
+    return F.when(text.rlike(ISO_FULL), text.try_cast("timestamp")).when(
+        text.rlike(ISO_SHORT), to_second.try_cast("timestamp")
+    )
 
 
 def compact_errors(checks: Iterable[Column]) -> Column:

@@ -12,62 +12,63 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import amount_or_zero, as_money, is_purchase, purchase_amount
 from tidemart.operators.dedup import dedup_latest
-from tidemart.schema import FUNNEL_STAGES
+from tidemart.schema import DAILY_KPIS_TABLE, FUNNEL_STAGES
 
 
 def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, F.lit(1)))
 
 
-def _distinct_per_day(
-    events: DataFrame, order_key: Column, amount: Column, buyer: Column
-) -> DataFrame:
-    """Per day: events, revenue, distinct users, buyers, sessions and orders.
+def daily_kpis(silver: DataFrame) -> DataFrame:
+    """Users, events, sessions, orders, revenue and buyers per day; orders and revenue count
+    purchases only.
 
-    The three keys are unpivoted into one column, so a single scan and a single shuffle serve all
-    of them; rows without a key are dropped before the shuffle, except that a user row always
-    stays because it carries the event itself.
+    One branch per distinct key, each a scan of just its columns (the order branch of just the
+    purchases), joined on the day, where every branch is down to one row.
     """
-    keyed = events.select(
-        "event_date",
-        F.col("user_id").alias("user"),
-        F.col("session_id").alias("session"),
-        order_key.alias("order"),
-        amount.alias("amount"),
-        buyer.alias("buyer"),
-    ).unpivot(
-        ["event_date", "amount", "buyer"], ["user", "session", "order"], "kind", "key"
-    )
-    on_user = F.col("kind") == "user"
-    per_key = (
-        keyed.filter(on_user | F.col("key").isNotNull())
-        .groupBy("event_date", "kind", "key")
+    bought = F.coalesce(is_purchase(), F.lit(False))
+    users = (
+        silver.groupBy("event_date", "user_id")
         .agg(
-            _count_if(on_user).alias("events"),
-            F.sum(F.when(on_user, F.col("amount"))).alias("amount"),
-            F.max("buyer").alias("buyer"),
+            F.count("*").alias("events"),
+            F.sum(purchase_amount()).alias("revenue"),
+            F.max(bought).alias("buyer"),
+        )
+        .groupBy("event_date")
+        .agg(
+            F.count("user_id").alias("daily_active_users"),
+            F.sum("events").alias("total_events"),
+            as_money(F.sum("revenue")).alias("total_revenue"),
+            _count_if(F.col("user_id").isNotNull() & F.col("buyer")).alias("purchase_users"),
         )
     )
-    known = F.col("key").isNotNull()
-    return per_key.groupBy("event_date").agg(
-        _count_if(on_user & known).alias("daily_active_users"),
-        F.sum("events").alias("total_events"),
-        _count_if(F.col("kind") == "session").alias("total_sessions"),
-        _count_if(F.col("kind") == "order").alias("total_orders"),
-        as_money(F.sum("amount")).alias("total_revenue"),
-        _count_if(on_user & known & F.col("buyer")).alias("purchase_users"),
+    return join_day_counts(
+        users, distinct_per_day(silver, "session_id"), orders_per_day(silver)
     )
 
 
-def daily_kpis(silver: DataFrame) -> DataFrame:
-    """Users, events, sessions, orders, revenue and buyers per day; orders and revenue count
-    purchases only."""
-    bought = F.coalesce(is_purchase(), F.lit(False))
-    return _distinct_per_day(
-        silver,
-        order_key=F.when(bought, F.col("order_id")),
-        amount=purchase_amount(),
-        buyer=bought,
+def distinct_per_day(events: DataFrame, key: str) -> DataFrame:
+    """``(event_date, distinct_count)`` of the non-null values of ``key``."""
+    return (
+        events.filter(F.col(key).isNotNull())
+        .select("event_date", key)
+        .distinct()
+        .groupBy("event_date")
+        .agg(F.count("*").alias("distinct_count"))
+    )
+
+
+def orders_per_day(silver: DataFrame) -> DataFrame:
+    return distinct_per_day(silver.filter(is_purchase()), "order_id")
+
+
+def join_day_counts(users: DataFrame, sessions: DataFrame, orders: DataFrame) -> DataFrame:
+    """The KPI row of each day from its user totals and its session and order counts."""
+    return (
+        users.join(sessions.toDF("event_date", "total_sessions"), "event_date", "left")
+        .join(orders.toDF("event_date", "total_orders"), "event_date", "left")
+        .fillna(0, ["total_sessions", "total_orders"])
+        .select(*DAILY_KPIS_TABLE.column_names)
     )
 
 
@@ -170,36 +171,74 @@ def product_daily_metrics(silver: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def daily_kpis_from_raw(events: DataFrame) -> DataFrame:
-    """Daily KPIs over undeduplicated events: orders and revenue of any event type, no buyers."""
-    latest = dedup_latest(events)
-    order_key = F.when(F.col("order_id") != "", F.col("order_id"))
-    totals = _distinct_per_day(
-        latest.withColumn("event_date", F.to_date("event_time")),
-        order_key=order_key,
-        amount=amount_or_zero(),
-        buyer=F.lit(False),
+    """Daily KPIs over undeduplicated events: orders and revenue of any event type, no buyers.
+
+    The input is parsed and deduplicated only once: its three keys are unpivoted into one column,
+    so one pass serves all three distinct counts. Rows without a key are dropped at once, except
+    that the user row stays because it carries the event itself.
+    """
+    keyed = (
+        dedup_latest(events)
+        .select(
+            F.to_date("event_time").alias("event_date"),
+            F.col("user_id").alias("user"),
+            F.col("session_id").alias("session"),
+            F.when(F.col("order_id") != "", F.col("order_id")).alias("order"),
+            amount_or_zero().alias("amount"),
+        )
+        .unpivot(["event_date", "amount"], ["user", "session", "order"], "kind", "key")
+    )
+    on_user = F.col("kind") == "user"
+    per_key = (
+        keyed.filter(on_user | F.col("key").isNotNull())
+        .groupBy("event_date", "kind", "key")
+        .agg(
+            _count_if(on_user).alias("events"),
+            F.sum(F.when(on_user, F.col("amount"))).alias("amount"),
+        )
+    )
+    return (
+        per_key.groupBy("event_date")
+        .agg(
+            _count_if(on_user & F.col("key").isNotNull()).alias("daily_active_users"),
+            F.sum("events").alias("total_events"),
+            _count_if(F.col("kind") == "session").alias("total_sessions"),
+            _count_if(F.col("kind") == "order").alias("total_orders"),
+            as_money(F.sum("amount")).alias("total_revenue"),
+        )
+        .orderBy("event_date")
     )
-    return totals.drop("purchase_users").orderBy("event_date")
 
 
 def session_metrics_from_raw(events: DataFrame) -> DataFrame:
-    """Session metrics over undeduplicated events, one row per session across midnight."""
+    """Session metrics over undeduplicated events, one row per session across midnight.
+
+    User and date come from the earliest event (lowest user id among equals). Events are first
+    summed per (session, user) with fixed-width buffers, which hash; only those few rows go
+    through the comparison of (time, user) structs, which sorts.
+    """
     latest = dedup_latest(events)
-    first = F.min(F.struct("event_time", "event_id", "user_id"))
+    per_user = latest.groupBy("session_id", "user_id").agg(
+        F.min("event_time").alias("first_time"),
+        F.max("event_time").alias("last_time"),
+        F.count("*").alias("event_count"),
+        _count_if(is_purchase()).alias("purchase_count"),
+        F.sum(amount_or_zero()).alias("revenue"),
+    )
     return (
-        latest.groupBy("session_id")
+        per_user.groupBy("session_id")
         .agg(
-            first.alias("first"),
-            F.max("event_time").alias("last_time"),
-            F.count("*").alias("event_count"),
-            _count_if(is_purchase()).alias("purchase_count"),
-            as_money(F.sum(amount_or_zero())).alias("total_revenue"),
+            F.min(F.struct("first_time", "user_id")).alias("first"),
+            F.max("last_time").alias("last_time"),
+            F.sum("event_count").alias("event_count"),
+            F.sum("purchase_count").alias("purchase_count"),
+            as_money(F.sum("revenue")).alias("total_revenue"),
         )
         .select(
             "session_id",
             F.col("first.user_id").alias("user_id"),
-            F.to_date("first.event_time").alias("event_date"),
-            F.timestamp_diff("SECOND", F.col("first.event_time"), F.col("last_time")).alias(
+            F.to_date("first.first_time").alias("event_date"),
+            F.timestamp_diff("SECOND", F.col("first.first_time"), F.col("last_time")).alias(
                 "session_duration_seconds"
             ),
             "event_count",

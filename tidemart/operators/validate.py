@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.columns import (
+    BLANK,
     NUMBER,
     compact_errors,
     is_blank,
@@ -84,84 +85,92 @@ def validate_stream_rules(bronze: DataFrame) -> DataFrame:
 
 
 # Contract rules
+#
+# Every field is read as text, so that absent, blank and unreadable values stay apart. Text alone
+# does not tell 1.0 from "1.0"; where that matters, the value's JSON type is looked up, inside a
+# branch that ordinary rows do not take, because the lookup parses the payload a second time.
+
+_CORRUPT = "corrupt_payload"
+_TEXT_SCHEMA = T.StructType(
+    [T.StructField(name, T.StringType()) for name in (*FIELD_NAMES, _CORRUPT)]
+)
+_TEXT_OPTIONS = {
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 
-_KINDS_USED = ("event_id", "event_time", "ingest_time", "order_id", "order_amount", "schema_version")
-
-
-def _raw_values(bronze: DataFrame) -> DataFrame:
-    """Bronze with ``payload_kind``, every field as text and, where it matters, its JSON type."""
-    opened = _once(
-        bronze,
-        F.struct(F.try_parse_json("raw_payload").alias("doc")),
-        *CARRIED,
-    )
-
-    def member(name: str, dtype: str) -> Column:
-        return F.try_variant_get("doc", f"$.{name}", dtype)
 
-    values = F.struct(
-        F.coalesce(F.schema_of_variant("doc"), F.lit("")).startswith("OBJECT").alias("is_object"),
-        *(member(name, "string").alias(name) for name in FIELD_NAMES),
-        *(
-            F.schema_of_variant(member(name, "variant")).alias(f"{name}_kind")
-            for name in _KINDS_USED
-        ),
-    )
-    return _once(opened, values, *CARRIED)
+def _text_values(bronze: DataFrame) -> DataFrame:
+    """Bronze with every payload field as text, and the payload itself where it is no object."""
+    return _once(bronze, F.from_json("raw_payload", _TEXT_SCHEMA, _TEXT_OPTIONS), *CARRIED)
 
 
-def _is_text(name: str) -> Column:
-    return F.col(f"{name}_kind") == "STRING"
+def _malformed() -> Column:
+    """Whether the payload is not a JSON object; an empty payload leaves no corrupt text."""
+    nothing = F.coalesce(F.col("raw_payload"), F.lit("")).rlike(BLANK)
+    return F.col(_CORRUPT).isNotNull() | nothing
 
 
-def _is_flag(name: str) -> Column:
-    return F.col(f"{name}_kind") == "BOOLEAN"
+def _json_type(name: str) -> Column:
+    member = F.try_variant_get(F.try_parse_json("raw_payload"), f"$.{name}", "variant")
+    return F.schema_of_variant(member)
 
 
-def _flag_number(name: str) -> Column:
-    return F.when(F.col(name) == "true", F.lit(1)).otherwise(F.lit(0))
+def _is_json_text(name: str) -> Column:
+    """Whether the payload gives the field as a JSON string. Only text that could also be a bare
+    JSON value needs the lookup."""
+    text = F.col(name)
+    could_be_bare = (
+        text.try_cast("double").isNotNull()
+        | text.isin("true", "false")
+        | text.startswith("[")
+        | text.startswith("{")
+    )
+    return F.when(could_be_bare, _json_type(name) == "STRING").otherwise(text.isNotNull())
 
 
 def _version() -> Column:
     """``schema_version`` as an integer: text must be an integer, numbers are cut to one."""
     text = F.col("schema_version")
-    return (
-        F.when(_is_text("schema_version"), text.try_cast("int"))
-        .when(_is_flag("schema_version"), _flag_number("schema_version"))
-        .otherwise(text.try_cast("double").try_cast("int"))
+    kind = _json_type("schema_version")
+    flag = F.when(text == "true", F.lit(1)).otherwise(F.lit(0))
+    bare = F.when(kind == "BOOLEAN", flag).when(
+        kind != "STRING", text.try_cast("double").try_cast("int")
     )
+    whole = text.try_cast("int")
+    return F.when(text.isNull() | whole.isNotNull(), whole).otherwise(bare)
 
 
 def _amount() -> Column:
     """``order_amount`` as a finite number, from a JSON number or from number text."""
-    text = F.btrim("order_amount")
+    text = F.trim("order_amount")
     number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    finite = F.when(F.abs(number) < F.lit(float("inf")), number)
-    flag = _flag_number("order_amount").cast("double")
-    return F.when(_is_flag("order_amount"), flag).otherwise(finite)
+    flag = F.when(text == "true", F.lit(1.0)).otherwise(F.lit(0.0))
+    # Nested, not joined by AND: a null on the left of AND would still evaluate the lookup.
+    from_flag = F.when(_json_type("order_amount") == "BOOLEAN", flag)
+    return F.when(F.abs(number) < F.lit(float("inf")), number).when(
+        text.isin("true", "false"), from_flag
+    )
 
 
 def _order_id_given() -> Column:
     """Whether ``order_id`` holds something: not null, not empty, not a bare zero or false."""
     text = F.col("order_id")
-    empty = F.when(_is_text("order_id"), text == "").otherwise(
-        text.isin("0", "0.0", "false", "[]", "{}")
-    )
-    return text.isNotNull() & ~empty
-
-
-def _instant(name: str) -> Column:
-    return F.when(_is_text(name), parse_instant(F.col(name)))
+    looks_empty = text.isin("0", "0.0", "-0", "-0.0", "false", "[]", "{}")
+    given = F.when(looks_empty, _is_json_text("order_id")).otherwise(text != "")
+    return F.coalesce(given, F.lit(False))
 
 
-def _contract_values(raw: DataFrame) -> DataFrame:
-    """Raw values plus their typed readings under a ``typed_`` prefix."""
+def _typed_values(texts: DataFrame) -> DataFrame:
+    """Text values plus their typed readings under a ``typed_`` prefix."""
     readings = {
-        **{name: _instant(name) for name in TIME_FIELDS},
+        **{name: parse_instant(F.col(name)) for name in TIME_FIELDS},
+        "order_id": F.when(_order_id_given(), F.col("order_id")),
         "order_amount": _amount(),
         "schema_version": _version(),
     }
-    return raw.select("*", *(column.alias(f"typed_{name}") for name, column in readings.items()))
+    return texts.select("*", *(column.alias(f"typed_{name}") for name, column in readings.items()))
 
 
 def contract_errors() -> Column:
@@ -181,7 +190,7 @@ def contract_errors() -> Column:
     )
     for name in TIME_FIELDS:
         shown = F.when(
-            _is_text(name),
+            _is_json_text(name),
             F.concat(
                 F.lit("Invalid isoformat string: '"),
                 F.replace(F.col(name), F.lit("Z"), F.lit("+00:00")),
@@ -205,7 +214,10 @@ def contract_errors() -> Column:
     )
     purchase = event_type == PURCHASE
     checks.append(
-        F.when(purchase & ~_order_id_given(), F.lit("order_id is required for purchase events"))
+        F.when(
+            purchase & F.col("typed_order_id").isNull(),
+            F.lit("order_id is required for purchase events"),
+        )
     )
     amount = F.col("typed_order_amount")
     checks.append(
@@ -217,30 +229,27 @@ def contract_errors() -> Column:
             ).when(amount.isNull(), F.lit("order_amount must be numeric for purchase events")),
         )
     )
-    return F.when(F.col("is_object"), compact_errors(checks)).otherwise(
-        F.array(F.lit(MALFORMED))
-    )
+    return F.when(_malformed(), F.array(F.lit(MALFORMED))).otherwise(compact_errors(checks))
+
+
+_TYPED = (*TIME_FIELDS, "order_id", "order_amount", "schema_version")
 
 
 def _coerced_fields() -> list[Column]:
-    typed = {name: F.col(f"typed_{name}") for name in TIME_FIELDS}
-    typed["schema_version"] = F.col("typed_schema_version")
-    typed["order_amount"] = F.col("typed_order_amount")
-    typed["order_id"] = F.when(_order_id_given(), F.col("order_id"))
     return [
-        typed.get(name, F.col(name)).cast(dtype).alias(name) for name, dtype in EVENT_FIELDS
+        F.col(f"typed_{name}" if name in _TYPED else name).cast(dtype).alias(name)
+        for name, dtype in EVENT_FIELDS
     ]
 
 
 def judged_payloads(bronze: DataFrame) -> DataFrame:
-    """Coerced fields, error texts and the id where the payload gives it as text."""
-    values = _contract_values(_raw_values(bronze))
-    verdict = F.struct(
+    """Coerced fields, error texts, and the id where the payload gives it as text."""
+    return _typed_values(_text_values(bronze)).select(
+        *CARRIED,
         *_coerced_fields(),
         contract_errors().alias("validation_errors"),
-        F.when(_is_text("event_id"), F.col("event_id")).alias("text_event_id"),
+        F.when(_is_json_text("event_id"), F.col("event_id")).alias("text_event_id"),
     )
-    return _once(values, verdict, *CARRIED)
 
 
 def validate_contract_rules(bronze: DataFrame) -> DataFrame:

@@ -17,7 +17,10 @@ from tidemart.functions.columns import amount_or_zero, as_money, is_purchase, pu
 from tidemart.operators.checks import enforce, run_checks
 from tidemart.operators.dedup import dedup_latest
 from tidemart.operators.marts import (
+    distinct_per_day,
     funnel_from_user_days,
+    join_day_counts,
+    orders_per_day,
     product_daily_metrics,
     stage_mask,
     whole_seconds_apart,
@@ -89,26 +92,7 @@ def daily_kpis_from_rollup(rollup: DataFrame, silver: DataFrame) -> DataFrame:
             F.count_if(known_user & (F.col("purchases") > 0)).alias("purchase_users"),
         )
     )
-    sessions = (
-        rollup.filter(F.col("session_id").isNotNull())
-        .select("event_date", "session_id")
-        .distinct()
-        .groupBy("event_date")
-        .agg(F.count("*").alias("total_sessions"))
-    )
-    orders = (
-        silver.filter(is_purchase() & F.col("order_id").isNotNull())
-        .select("event_date", "order_id")
-        .distinct()
-        .groupBy("event_date")
-        .agg(F.count("*").alias("total_orders"))
-    )
-    return (
-        users.join(sessions, "event_date", "left")
-        .join(orders, "event_date", "left")
-        .fillna(0, ["total_sessions", "total_orders"])
-        .select(*DAILY_KPIS_TABLE.column_names)
-    )
+    return join_day_counts(users, distinct_per_day(rollup, "session_id"), orders_per_day(silver))
 
 
 @dataclass(frozen=True)

@@ -469,7 +469,7 @@ ORACLES: dict[str, str] = {
     ),
     "session_metrics_from_raw": _with(
         COERCED,
-        "SELECT session_id, arg_min(user_id, (event_time, event_id)) AS user_id, "
+        "SELECT session_id, arg_min(user_id, (event_time, user_id)) AS user_id, "
         "CAST(min(event_time) AS DATE) AS event_date, "
         "CAST(epoch_us(max(event_time)) - epoch_us(min(event_time)) AS BIGINT) // 1000000 "
         "AS session_duration_seconds, count(*) AS event_count, "

@@ -1,4 +1,4 @@
-"""Session settings that results depend on, and the shared scratch location."""
+"""Session settings and the shared scratch location."""
 
 from __future__ import annotations
 
@@ -7,10 +7,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that change results; everything else is left to the cluster's own configuration.
-RESULT_SETTINGS = {
+# Settings that change results, or that the plans here are built on; everything else is left to
+# the cluster's own configuration.
+ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # HotSpot never compiles a method of more than 8000 bytecodes. The contract rules generate
+    # such a method; with this limit Spark emits them as several small ones instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -18,8 +22,8 @@ ROCKSDB_PROVIDER = (
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to ``spark`` and return it."""
-    for key, value in RESULT_SETTINGS.items():
+    """Apply the engine settings to ``spark`` and return it."""
+    for key, value in ENGINE_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
@@ -29,7 +33,7 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in RESULT_SETTINGS.items():
+    for key, value in ENGINE_SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
