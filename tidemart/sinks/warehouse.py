@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,19 @@ def warehouse_namespaces(spark: SparkSession, warehouse: Warehouse) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{place}")
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts replace only the partitions they touch. Tables take this from the session; the
+    writer's own option works for paths only."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def warehouse_write(
     frame: DataFrame, namespace: str, contract: TableContract, only_dates: bool = False
 ) -> str:
@@ -35,12 +50,8 @@ def warehouse_write(
     rows = conform(frame, contract).hint("rebalance", F.col("event_date"))
     spark = frame.sparkSession
     if only_dates and spark.catalog.tableExists(table):
-        (
-            rows.select(*spark.table(table).columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(table)
-        )
+        with dynamic_overwrite(spark):
+            rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     else:
         rows.write.mode("overwrite").format("parquet").partitionBy("event_date").saveAsTable(table)
     return table
