@@ -114,6 +114,14 @@ def test_funnel_zero_denominators_and_null_users(spark):
     assert (kpi.daily_active_users, kpi.total_events) == (1, 2)
 
 
+def test_events_without_a_date_keep_their_counts(spark):
+    events = silver(spark, event(event_type="purchase", order_id="o", order_amount=1.0)).withColumn(
+        "event_date", F.lit(None).cast("date")
+    )
+    kpi = marts.daily_kpis(events).first()
+    assert (kpi.event_date, kpi.total_sessions, kpi.total_orders) == (None, 1, 1)
+
+
 def test_money_is_summed_exactly_and_rounded_half_up(spark):
     cents = [event(event_id=f"e{i}", order_amount=0.1) for i in range(3)]
     assert marts.session_metrics(silver(spark, *cents)).first().total_revenue == 0.3

@@ -64,9 +64,11 @@ def orders_per_day(silver: DataFrame) -> DataFrame:
 
 def join_day_counts(users: DataFrame, sessions: DataFrame, orders: DataFrame) -> DataFrame:
     """The KPI row of each day from its user totals and its session and order counts."""
+    sessions = sessions.toDF("session_day", "total_sessions")
+    orders = orders.toDF("order_day", "total_orders")
     return (
-        users.join(sessions.toDF("event_date", "total_sessions"), "event_date", "left")
-        .join(orders.toDF("event_date", "total_orders"), "event_date", "left")
+        users.join(sessions, F.col("event_date").eqNullSafe(F.col("session_day")), "left")
+        .join(orders, F.col("event_date").eqNullSafe(F.col("order_day")), "left")
         .fillna(0, ["total_sessions", "total_orders"])
         .select(*DAILY_KPIS_TABLE.column_names)
     )

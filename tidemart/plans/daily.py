@@ -127,10 +127,12 @@ def daily_run(
     latest = dedup_latest(silver_scan(spark, silver_path, start, end))
 
     # Silver is deduplicated and written once, with amounts as they came, and everything after
-    # reads the columns it needs from there; the warehouse table rounds amounts to cents.
+    # reads the columns it needs from there; the warehouse table rounds amounts to cents. Both
+    # work tables are written as the tasks hold them: no one reads them by date.
     work = scratch_dir(spark, "daily-run")
-    silver = spark.read.parquet(gold_write(latest, work, "silver"))
-    gold_write(session_rollup(silver), work, "session_rollup")
+    latest.write.parquet(f"{work}/silver")
+    silver = spark.read.parquet(f"{work}/silver")
+    session_rollup(silver).write.parquet(f"{work}/session_rollup")
     rollup = spark.read.parquet(f"{work}/session_rollup")
 
     marts = {
