@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import table
 from tidemart.llm.exact_dedup import DigestIndex
+from tidemart.llm.token_records import read_records, write_records
+from tidemart.session import scratch_dir
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,8 +23,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as a token record and read back."""
+    path = scratch_dir(spark, "token-records")
+    write_records(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER))
+    return read_records(spark, path, digest=True)
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op7_token_records": op7_token_records,
 }
 
 LLM_ORACLES = {
