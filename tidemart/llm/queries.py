@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import table
 from tidemart.llm.exact_dedup import DigestIndex
+from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.token_records import read_records, write_records
 from tidemart.session import scratch_dir
 
@@ -30,9 +31,15 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, path, digest=True)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of 5-word shingles have a Jaccard similarity of at least 0.8, closed to components."""
+    return ngram_components(spark, table(spark, sf_dir, "documents"), size=5, num=80, den=100)
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op7_token_records": op7_token_records,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 LLM_ORACLES = {
@@ -50,4 +57,38 @@ LLM_ORACLES = {
         FROM digests
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op10_ngram_join": r"""
+        WITH RECURSIVE tokens AS (
+            SELECT doc_id,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, shingle
+            FROM (
+                SELECT doc_id,
+                       unnest(CASE WHEN len(w) = 0 THEN []
+                                   WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                   ELSE list_transform(range(1, len(w) - 3),
+                                            lambda k: array_to_string(w[k:k + 4], ' ')) END)
+                           AS shingle
+                FROM tokens)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS i
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT u, v
+            FROM common JOIN sizes x ON u = x.doc_id JOIN sizes y ON v = y.doc_id
+            WHERE 100 * i >= 80 * (x.n + y.n - i)),
+        reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT reach.doc_id, links.v FROM reach JOIN links ON links.u = reach.other)
+        SELECT reach.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id
+        GROUP BY reach.doc_id
+    """,
 }
