@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.brute import words
+from tidemart.llm.mixing import Mix, source_targets
+from tidemart.llm.queries import LLM_QUERIES
+
+SCHEMA = "doc_id bigint, text string, source string, size int, n_chars bigint, start string"
+
+
+def expected_targets(sizes):
+    """The rule as written: reshare the excess until no target is above its limit."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode("utf-8")))
+    weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}
+    total = 1.5 * sum(sizes.values())
+    limited = set()
+    while True:
+        rest = total - sum(2 * sizes[s] for s in limited)
+        open_weight = sum(weight[s] for s in names if s not in limited)
+        target = {s: 2.0 * sizes[s] if s in limited else rest * weight[s] / open_weight for s in names}
+        above = {s for s in names if target[s] > 2 * sizes[s] and s not in limited}
+        if not above:
+            return target
+        limited |= above
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        {"a": 10, "b": 1000, "c": 5, None: 7},
+        {"x": 0, "y": 3},
+        {f"s{k}": (k * 37) % 101 for k in range(25)} | {"é": 400, "z": 1},
+        {"only": 9},
+        {"a": 0, "b": 0},
+    ],
+)
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r.source: r.target for r in source_targets(frame).collect()}
+    assert got == pytest.approx(expected_targets(sizes))
+
+
+@pytest.mark.parametrize("sf_dir", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_query_keeps_its_promises(spark, sf_dir):
+    rows = LLM_QUERIES["op5_mix_sources"](spark, sf_dir).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for r in rows:
+        assert r.size == len(words(docs[r.doc_id].text)) and r.source == docs[r.doc_id].source
+        assert 0 <= r.taken <= 2 * r.size
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+    targets = expected_targets(sizes)
+    for r in rows:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source])
+    assert taken == {s: round(t) for s, t in targets.items()}
+    again = LLM_QUERIES["op5_mix_sources"](spark, sf_dir).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+def test_every_stretch_of_the_mix_has_the_shares(spark):
+    mix = Mix(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), block_words=16)
+    need = {r.source_no: r.slots for r in mix.sources.collect()}
+    order = [r.source_no for r in mix.schedule().orderBy("slot").collect()]
+    total = sum(need.values())
+    assert len(order) == total
+    for upto in range(2000, total, 2000):
+        for source, slots in need.items():
+            assert abs(order[:upto].count(source) - upto * slots / total) < 12
+
+
+def test_rounds_cover_the_stream_in_order(spark):
+    """Every word of a source once before any comes twice, and then from the front."""
+    rows = [(k, "w " * (k % 7), "ab"[k % 2], 0, 0, "") for k in range(60)]
+    mix = Mix(spark, spark.createDataFrame(rows, SCHEMA), block_words=4)
+    starts = {(r.source_no, r.start): r.size for r in mix.positions(mix.light).where("size > 0").collect()}
+    got = defaultdict(int)
+    for r in mix.taken().collect():
+        got[r.source_no, r.start, r.round] += r.words
+    for source in mix.sources.collect():
+        for key, size in starts.items():
+            if key[0] == source.source_no:
+                for turn in (0, 1):
+                    left = min(max(source.take - turn * source.source_size - key[1], 0), size)
+                    assert got[(*key, turn)] == left
+    assert sum(got.values()) == sum(s.take for s in mix.sources.collect())
+
+
+def test_mixed_documents(spark):
+    rows = [(k, f"a{k} b\tc  d{k}", "big", 1, 9, "s") for k in range(40)] + [(90, "x y", "small", 1, 3, "s"), (91, None, None, 1, None, None), (92, "", None, 0, 0, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = Mix(spark, docs, block_words=8).documents()
+    assert mixed.columns == docs.columns
+    texts = {r[0]: r[1] for r in rows}
+    got = mixed.collect()
+    assert sum(r.doc_id == 90 for r in got) == 2
+    cut = [r for r in got if r.text != texts[r.doc_id]]
+    assert len(cut) <= 2 and all(words(texts[r.doc_id])[: len(words(r.text))] == words(r.text) for r in cut)
+    assert all(r.n_chars == len(r.text) for r in got)
+    assert sum(len(words(r.text)) for r in got) == round(1.5 * 162)
+
+
+def test_empty_and_wordless_tables(spark):
+    assert Mix(spark, spark.createDataFrame([], SCHEMA)).counts().count() == 0
+    rows = [(1, None, None, 0, 0, ""), (2, " ", "a", 0, 0, ""), (None, "", "a", 0, 0, "")]
+    mix = Mix(spark, spark.createDataFrame(rows, SCHEMA))
+    assert sorted(r.taken for r in mix.counts().collect()) == [0, 0, 0]
+    assert mix.documents().count() == 0
+
+
+def test_repeated_and_long_rows(spark):
+    long = "w " * 100_000
+    rows = [(1, "a b c", "s", 0, 0, "")] * 3 + [(None, long, "s", 0, 0, "")] * 2
+    got = Mix(spark, spark.createDataFrame(rows, SCHEMA)).counts().collect()
+    assert len(got) == 5 and sum(r.taken for r in got) == round(1.5 * 200_009)
+    assert all(r.taken <= 2 * r.size for r in got)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import table
 from tidemart.llm.exact_dedup import DigestIndex
+from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.token_records import read_records, write_records
 from tidemart.session import scratch_dir
@@ -24,6 +25,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    mix = Mix(spark, table(spark, sf_dir, "documents"))
+    return mix.counts().select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written as a token record and read back."""
     path = scratch_dir(spark, "token-records")
@@ -38,6 +45,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_mix_sources": op5_mix_sources,
     "op7_token_records": op7_token_records,
     "op10_ngram_join": op10_ngram_join,
 }
