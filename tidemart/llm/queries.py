@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import table
+from tidemart.llm.common import fold, table
 from tidemart.llm.exact_dedup import DigestIndex
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.token_records import read_records, write_records
+from tidemart.llm.toxicity import toxicity
 from tidemart.session import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -38,6 +39,18 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, path, digest=True)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labels outside of fold 1 of 3."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scores, _ = toxicity(spark, docs, labels.where(fold(F.col("doc_id"), 3) != 1))
+    return scores.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose sets of 5-word shingles have a Jaccard similarity of at least 0.8, closed to components."""
     return ngram_components(spark, table(spark, sf_dir, "documents"), size=5, num=80, den=100)
@@ -47,6 +60,7 @@ LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op7_token_records": op7_token_records,
+    "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
 }
 
