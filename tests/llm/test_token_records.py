@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyarrow.fs import FileSystem
 from tokenizers import Tokenizer
 
 from tidemart.llm.queries import LLM_QUERIES
-from tidemart.llm.token_records import encoder, frame, read_records, unframe, write_records
+from tidemart.llm.token_records import OUTSIDE, SPLIT, encoder, frame, read_records, unframe, write_records
 from tidemart.session import scratch_dir
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +44,19 @@ def test_pieces_give_the_ids_of_whole_texts(text):
         assert encoder(PATH).encode([text, "a b", text])[2].tolist() == whole
 
 
+def test_pieces_are_those_of_the_tokenizer():
+    """Every allowed character beside every kind of character, and random strings."""
+    whole = Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    kinds = " \n'sa1.é"
+    allowed = [c for c in map(chr, range(0x250)) if not OUTSIDE.search(c)]
+    texts = [a + c + b for c in allowed for a in kinds for b in kinds]
+    texts += ["".join(rng.choices(" \n\t'stmdrevlaZ1²!$éß", k=9)) for _ in range(4000)]
+    cut = [[t for t, _ in whole.pre_tokenizer.pre_tokenize_str(text)] for text in texts]
+    for text, pieces in zip(texts, cut):
+        assert [len(p.encode()) for p in SPLIT.findall(text)] == [len(p) for p in pieces], text
+
+
 def test_round_trip_and_shuffled_reads(spark):
     long = "many words " * 50_000
     rows = [(3, "c", "x"), (None, "n", "x"), (1, None, None), (2, long, "x"), (2, long, "x"), (9, "", "x")]

@@ -44,7 +44,7 @@ def corpus(rng, count):
             for _ in range(2 + len(words) // 40):
                 words.insert(rng.randrange(len(words)), rng.choice(["vilest", "vileness", "vil3ly", "Rоtter"]))
         elif k % 40 == 1:
-            words.insert(rng.randrange(len(words)), "rotter dam")
+            words.insert(rng.randrange(len(words)), "rotter damme")
         docs.append((k, " ".join(words), "x", "y"))
         labels.append((k, int(toxic), None))
     return docs, labels
@@ -57,7 +57,7 @@ def test_learns_stems_and_exceptions(spark):
     got = {r.doc_id: r.score for r in scores.collect()}
     held = {r[0]: r[1] for r in labels if zlib.crc32(str(r[0]).encode()) % 3 == 1}
     assert sum((got[k] >= 0.7) == bool(t) for k, t in held.items()) / len(held) > 0.97
-    assert "rotter dam" in lexicon.exceptions
+    assert "rotter damme" in lexicon.exceptions
     assert all(0 <= s <= 1 for s in got.values())
 
 
