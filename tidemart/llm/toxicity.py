@@ -217,7 +217,7 @@ def sums(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             for text in batch.column(1):
                 text = fold(text.as_py() or "")
                 weights.append(float(sum(weight for _, weight in matches(automaton, text))))
-                words.append(max(0, text.count(" ") - 1))
+                words.append(text.count(" ") - 1 if text.strip() else 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(weights, pa.float64()), pa.array(words, pa.int64())],
                 names=["doc_id", "weight", "words"],
