@@ -100,15 +100,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     return folded, starts, ends, np.searchsorted(starts, offsets)
 
 
+def span_hashes(folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of folded bytes."""
+    if len(_powers["up"]) < len(folded) + 1:
+        _powers["up"] = powers(BASE, max(len(folded) + 1, BLOCK_BYTES + 1))
+        _powers["down"] = powers(INVERSE, max(len(folded) + 1, BLOCK_BYTES + 1))
+    sums = np.zeros(len(folded) + 1, np.uint64)
+    np.cumsum(BYTE_VALUES[folded] * _powers["up"][: len(folded)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _powers["down"][starts])
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in order, and per text the number of its first word (n + 1)."""
     folded, starts, ends, first = word_spans(data, offsets, table)
-    if len(_powers["up"]) < len(data) + 1:
-        _powers["up"] = powers(BASE, max(len(data) + 1, BLOCK_BYTES + 1))
-        _powers["down"] = powers(INVERSE, max(len(data) + 1, BLOCK_BYTES + 1))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[folded] * _powers["up"][: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers["down"][starts]), first
+    return span_hashes(folded, starts, ends), first
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:

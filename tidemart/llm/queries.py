@@ -10,6 +10,7 @@ from tidemart.llm.common import fold, table
 from tidemart.llm.exact_dedup import DigestIndex
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
+from tidemart.llm.quality import quality
 from tidemart.llm.token_records import read_records, write_records
 from tidemart.llm.toxicity import toxicity
 from tidemart.session import scratch_dir
@@ -26,6 +27,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from the labels outside of fold 0 of 5."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scores, _ = quality(spark, docs, labels.where(fold(F.col("doc_id"), 5) != 0))
+    return scores.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     mix = Mix(spark, table(spark, sf_dir, "documents"))
@@ -58,6 +71,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op7_token_records": op7_token_records,
     "op9_toxicity": op9_toxicity,
