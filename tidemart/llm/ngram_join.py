@@ -19,7 +19,8 @@ Equal sets are joined to one node first. Rows of one signature are compared with
 their group (frequent signatures are dealt over sub-groups first, whose smallest nodes are compared in
 turn), the pairs' similarity is counted exactly, and links are closed to components. Signatures whose
 nodes are then still in several components get all the comparisons between these components that are
-missing. Pairs within a component need none, as they cannot change it.
+missing, but for pairs that small bitmaps of their sets rule out. Pairs within a component need
+none, as they cannot change it.
 
 Cases: null, empty and blank-only texts have no shingles and link with nothing; a text with fewer words
 than n has its whole sequence as its one shingle. Rows without an id take the component of the others
@@ -49,6 +50,7 @@ FREQUENT_MAX = 1 << 20
 LOSSY_CHUNK = 1 << 21
 SUB_GROUPS = 64
 SMALL_BAND = 5
+BITMAP = 1024
 ONE = np.uint64(1)
 
 
@@ -130,6 +132,12 @@ def set_node(elements: np.ndarray) -> tuple[int, int]:
     return int(first), int(second)
 
 
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """The parities of the numbers of elements that fall on each of BITMAP places, as 64-bit numbers."""
+    places = (mix(elements + np.uint64(11)) % np.uint64(BITMAP)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=BITMAP) & 1).astype(np.uint8)).view(np.int64)
+
+
 def text_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for block, data, offsets in text_blocks(batch):
@@ -241,7 +249,7 @@ class NgramJoin:
         return both.where("node <> leader")
 
     def sets(self, nodes: DataFrame, reps: DataFrame) -> DataFrame:
-        """``(node, rep, elements)`` of the nodes asked for; a Bloom filter keeps other texts from moving."""
+        """``(node, rep, elements, bits)`` of the nodes asked for; a Bloom filter keeps other texts from moving."""
         size = self.size
         words = self.spark.sparkContext.broadcast(filter_words(nodes, F.col("node")))
 
@@ -250,13 +258,14 @@ class NgramJoin:
                 named = np.array([set_node(s) for s in sets], np.int64).reshape(-1, 2)
                 some = np.flatnonzero(may_hold(words.value, named[:, 0].view(np.uint64)))
                 yield batch_of(
-                    ["doc_id", "node", "elements"],
+                    ["doc_id", "node", "elements", "bits"],
                     block.column(0).take(pa.array(some)),
                     pa.array(named[some, 0]),
                     pa.array([signed(sets[k]) for k in some], pa.list_(pa.int64())),
+                    pa.array([bitmap(sets[k]) for k in some], pa.list_(pa.int64())),
                 )
 
-        rows = self.docs.mapInArrow(kept, "doc_id bigint, node bigint, elements array<bigint>")
+        rows = self.docs.mapInArrow(kept, "doc_id bigint, node bigint, elements array<bigint>, bits array<bigint>")
         # One row per set: that of its representative's id.
         rows = rows.join(reps.select(F.col("rep").alias("doc_id"), F.col("node").alias("rep_node")), "doc_id")
         rows = rows.where("node = rep_node and size(elements) > 0").drop("rep_node")
@@ -275,8 +284,12 @@ class NgramJoin:
             "ngram-links",
         )
 
-    def missing_pairs(self, groups: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of nodes with a common signature whose components are still apart."""
+    def missing_pairs(self, groups: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs of nodes with a common signature whose components are still apart.
+
+        Left out are pairs whose bitmaps show that they differ too much: a bit is the parity of a set's
+        elements there, so two sets differ in at least as many elements as their bitmaps do in bits.
+        """
         at = reps.join(labels, reps["rep"] == labels["node"], "left").select(
             reps["node"], F.coalesce("component", "rep").alias("component")
         )
@@ -288,9 +301,17 @@ class NgramJoin:
         )
         main = written(self.spark, main.where("apart > 1").select("signature", "main"), "ngram-apart")
         apart = written(self.spark, members.join(main, "signature"), "ngram-apart-members")
-        others = apart.where("component <> main").select("signature", F.col("node").alias("x"), F.col("component").alias("c"))
-        met = others.join(apart, "signature").where("c <> component")
-        return met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+
+        sizes = sets.select("node", F.size("elements").alias("n"), "bits")
+        apart = written(self.spark, apart.join(sizes, "node"), "ngram-apart-sizes")
+        others = apart.where("component <> main")
+        others = others.select("signature", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "bits")))
+        different = sum(
+            (F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("x_bits")[k])) for k in range(BITMAP // 64)), F.lit(0)
+        )
+        can_link = different * (self.den + self.num) <= (F.col("n") + F.col("x_n")) * (self.den - self.num)
+        met = others.join(apart, "signature").where((F.col("x_component") != F.col("component")) & can_link)
+        return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
     def run(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id, and the links of its set."""
@@ -310,7 +331,7 @@ class NgramJoin:
         sets = self.sets(nodes, named)
         links = self.links(pairs, sets)
         labels = components(self.spark, links.where("linked").select("u", "v"))
-        more = self.missing_pairs(groups, named, labels).join(pairs, ["a", "b"], "left_anti")
+        more = self.missing_pairs(groups, named, labels, sets).join(pairs, ["a", "b"], "left_anti")
         links = links.union(self.links(written(self.spark, more, "ngram-pairs"), sets))
         labels = components(self.spark, links.where("linked").select("u", "v"))
 
