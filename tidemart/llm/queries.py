@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import fold, table
+from tidemart.llm.decontamination import overlaps
 from tidemart.llm.exact_dedup import DigestIndex
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
@@ -27,6 +28,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every contaminated document with each benchmark item that it holds."""
+    found = overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_overlaps"),
+        F.max("best_window").alias("best_window"),
+        F.max("n_equal").alias("n_equal"),
+        F.min("doc_start").alias("first_token"),
+    )
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learnt from the labels outside of fold 0 of 5."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -71,6 +83,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op7_token_records": op7_token_records,
