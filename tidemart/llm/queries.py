@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import fold, table
 from tidemart.llm.decontamination import overlaps
 from tidemart.llm.exact_dedup import DigestIndex
+from tidemart.llm.line_dedup import clean_pages
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.quality import quality
@@ -28,6 +29,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its lines counted and the digest of those that stay."""
+    pages = clean_pages(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select(
+        "page_id",
+        "host",
+        F.size("lines").cast("bigint").alias("n_lines"),
+        F.size("kept").cast("bigint").alias("n_kept"),
+        F.sha2(F.array_join("kept", "\n"), 256).alias("kept_sha256"),
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every contaminated document with each benchmark item that it holds."""
     found = overlaps(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -83,6 +96,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
@@ -106,6 +120,39 @@ LLM_ORACLES = {
         FROM digests
         WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op2_line_dedup": r"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS page, page_id,
+                   nullif(lower(regexp_extract(
+                       url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '') AS host,
+                   list_filter(
+                       list_transform(
+                           string_split_regex(
+                               regexp_replace(regexp_replace(regexp_replace(
+                                   coalesce(html, ''),
+                                   '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g'),
+                                   '(?i)</?(?:a|abbr|b|bdi|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var|wbr)(?:\s[^>]*)?>', '', 'g'),
+                                   '<[^>]*>', chr(10), 'g'),
+                               '[\n\r]+'),
+                           lambda l: trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))),
+                       lambda l: l <> '') AS lines
+            FROM pages),
+        lines AS (
+            SELECT page, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM cut),
+        totals AS (SELECT host, count(*) AS pages FROM cut WHERE host IS NOT NULL GROUP BY host),
+        common AS (
+            SELECT host, line
+            FROM (SELECT host, line, count(DISTINCT page) AS n FROM lines GROUP BY host, line)
+                 JOIN totals USING (host)
+            WHERE n >= 3 AND n > pages * 0.1::DOUBLE),
+        kept AS (
+            SELECT page, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS text
+            FROM lines ANTI JOIN common USING (host, line)
+            GROUP BY page)
+        SELECT page_id, host, len(lines) AS n_lines, coalesce(n, 0) AS n_kept,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM cut LEFT JOIN kept USING (page)
+    """,
     "op10_ngram_join": r"""
         WITH RECURSIVE tokens AS (
             SELECT doc_id,
