@@ -74,4 +74,5 @@ def clean_pages(spark: SparkSession, pages: DataFrame, ratio: float = RATIO, min
     met = cut.join(common, F.col("host") == F.col("on_host"), "left")
     kept = F.filter("lines", lambda line: ~F.array_contains(F.col("dropped"), F.xxhash64(line)))
     kept = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(kept)
-    return met.select(*(F.col(f"page.`{c}`").alias(c) for c in others), "host", "lines", kept.alias("kept"))
+    met = met.select("page", "host", "lines", kept.alias("kept"))
+    return met.select(*(F.col(f"page.`{c}`").alias(c) for c in others), "host", "lines", "kept")
