@@ -40,8 +40,8 @@ from pyspark.sql.window import Window
 
 from tidemart.llm.bloom import filter_words, may_hold
 from tidemart.llm.common import written
-from tidemart.llm.components import components
 from tidemart.llm.hashing import mix, shingle_sets, signed, text_blocks, word_hashes
+from tidemart.llm.linking import Linker, bitmap, set_node
 
 # A signature counts as frequent from this many documents on, and so many are remembered at most:
 # the bound on what is sent to every task (16 bytes each).
@@ -50,8 +50,6 @@ FREQUENT_MAX = 1 << 20
 LOSSY_CHUNK = 1 << 21
 SUB_GROUPS = 64
 SMALL_BAND = 5
-BITMAP = 1024
-ONE = np.uint64(1)
 
 
 def most_different(n: int, partner: int, num: int, den: int) -> int:
@@ -123,21 +121,6 @@ class Signatures:
         return np.unique(mix(elements ^ np.uint64(0xA5A5 + band)) % np.uint64(self.parts(band))).astype(np.int64)
 
 
-def set_node(elements: np.ndarray) -> tuple[int, int]:
-    """Two independent 63-bit names of a set; the first is its node."""
-    if not len(elements):
-        return 0, 0
-    sums = np.array([np.sum(mix(elements + np.uint64(k))) for k in (1, 2)], np.uint64)
-    first, second = mix(sums ^ np.uint64(len(elements))) >> ONE
-    return int(first), int(second)
-
-
-def bitmap(elements: np.ndarray) -> np.ndarray:
-    """The parities of the numbers of elements that fall on each of BITMAP places, as 64-bit numbers."""
-    places = (mix(elements + np.uint64(11)) % np.uint64(BITMAP)).astype(np.int64)
-    return np.packbits((np.bincount(places, minlength=BITMAP) & 1).astype(np.uint8)).view(np.int64)
-
-
 def text_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for block, data, offsets in text_blocks(batch):
@@ -271,48 +254,6 @@ class NgramJoin:
         rows = rows.where("node = rep_node and size(elements) > 0").drop("rep_node")
         return written(self.spark, rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "ngram-sets")
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """``(u, v, linked)`` of the representatives of each pair of nodes ``(a, b)``."""
-        left = sets.select(F.col("node").alias("a"), F.col("rep").alias("u"), F.col("elements").alias("left"))
-        right = sets.select(F.col("node").alias("b"), F.col("rep").alias("v"), F.col("elements").alias("right"))
-        n, m = F.size("left"), F.size("right")
-        both = pairs.join(right, "b").join(left, "a").where(F.least(n, m) * self.den >= F.greatest(n, m) * self.num)
-        common = F.size(F.array_intersect("left", "right"))
-        return written(
-            self.spark,
-            both.select("u", "v", (common * self.den >= (n + m - common) * self.num).alias("linked")),
-            "ngram-links",
-        )
-
-    def missing_pairs(self, groups: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-        """Pairs of nodes with a common signature whose components are still apart.
-
-        Left out are pairs whose bitmaps show that they differ too much: a bit is the parity of a set's
-        elements there, so two sets differ in at least as many elements as their bitmaps do in bits.
-        """
-        at = reps.join(labels, reps["rep"] == labels["node"], "left").select(
-            reps["node"], F.coalesce("component", "rep").alias("component")
-        )
-        members = groups.select("signature", "node").union(groups.select("signature", F.col("leader").alias("node")))
-        members = written(self.spark, members.distinct().join(written(self.spark, at, "ngram-labels"), "node"), "ngram-members")
-        counts = members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("nodes"))
-        main = counts.groupBy("signature").agg(
-            F.count(F.lit(1)).alias("apart"), F.max_by("component", F.struct("nodes", "component")).alias("main")
-        )
-        main = written(self.spark, main.where("apart > 1").select("signature", "main"), "ngram-apart")
-        apart = written(self.spark, members.join(main, "signature"), "ngram-apart-members")
-
-        sizes = sets.select("node", F.size("elements").alias("n"), "bits")
-        apart = written(self.spark, apart.join(sizes, "node"), "ngram-apart-sizes")
-        others = apart.where("component <> main")
-        others = others.select("signature", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "bits")))
-        different = sum(
-            (F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("x_bits")[k])) for k in range(BITMAP // 64)), F.lit(0)
-        )
-        can_link = different * (self.den + self.num) <= (F.col("n") + F.col("x_n")) * (self.den - self.num)
-        met = others.join(apart, "signature").where((F.col("x_component") != F.col("component")) & can_link)
-        return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
-
     def run(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id, and the links of its set."""
         prints = self.prints()
@@ -329,11 +270,7 @@ class NgramJoin:
         )
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = self.sets(nodes, named)
-        links = self.links(pairs, sets)
-        labels = components(self.spark, links.where("linked").select("u", "v"))
-        more = self.missing_pairs(groups, named, labels, sets).join(pairs, ["a", "b"], "left_anti")
-        links = links.union(self.links(written(self.spark, more, "ngram-pairs"), sets))
-        labels = components(self.spark, links.where("linked").select("u", "v"))
+        labels = Linker(self.spark, self.num, self.den).components(groups, pairs, named, sets)
 
         final = reps.join(labels, reps["rep"] == labels["node"], "left").select(
             reps["node"], "check", "n_shingles", F.coalesce("component", "rep").alias("component_id")

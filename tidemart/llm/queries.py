@@ -12,6 +12,7 @@ from tidemart.llm.exact_dedup import DigestIndex
 from tidemart.llm.line_dedup import clean_pages
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
+from tidemart.llm.paragraph_dedup import ParagraphDedup
 from tidemart.llm.quality import quality
 from tidemart.llm.token_records import read_records, write_records
 from tidemart.llm.toxicity import toxicity
@@ -70,6 +71,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.counts().select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of 40 words or more that repeats, nearly or exactly, and which of them stays."""
+    return ParagraphDedup(spark, table(spark, sf_dir, "documents")).clusters().drop("text_hash")
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written as a token record and read back."""
     path = scratch_dir(spark, "token-records")
@@ -100,6 +106,7 @@ LLM_QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
+    "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_token_records": op7_token_records,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
