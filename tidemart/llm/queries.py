@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm.class_lm import score_documents
 from tidemart.llm.common import fold, table
 from tidemart.llm.decontamination import overlaps
 from tidemart.llm.exact_dedup import DigestIndex
@@ -83,6 +84,15 @@ def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, path, digest=True)
 
 
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability, learnt from the texts outside of fold 2 of 7."""
+    docs = table(spark, sf_dir, "documents")
+    scores = score_documents(spark, docs, docs.where(fold(F.col("doc_id"), 7) != 2))
+    return scores.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(True))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity, learnt from the labels outside of fold 1 of 3."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -108,6 +118,7 @@ LLM_QUERIES = {
     "op5_mix_sources": op5_mix_sources,
     "op6_paragraph_dedup": op6_paragraph_dedup,
     "op7_token_records": op7_token_records,
+    "op8_class_lm": op8_class_lm,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
 }
