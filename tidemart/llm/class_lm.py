@@ -227,13 +227,17 @@ class Exchange:
 
 
 def exchange_round(contexts: DataFrame, classes: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """Each task exchanges its own types once; the new classes of all types."""
+    """Each task exchanges its own types once; the new classes of all types.
+
+    A task holds the contexts of its types, all tasks together at most twice TYPES squared rows.
+    """
     shared = contexts.sparkSession.sparkContext.broadcast((classes, pairs))
 
     def exchanged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if batches else None
-        if table is None or not table.num_rows:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         types, others, sides, n = (c.to_numpy() for c in table.columns)
         state = Exchange(*shared.value)
         order = np.argsort(types, kind="stable")
