@@ -1,6 +1,6 @@
 """From candidate groups of sets to exact links and components, without looking at all pairs of a group.
 
-Nodes are compared with their group's leader first. Groups whose nodes are then still in several
+Nodes are compared with their group's most central node first. Groups whose nodes are then still in several
 components get all comparisons between these components that are missing, but for those that small
 bitmaps of the sets rule out. Within a component no comparison is needed, as it cannot change it.
 """
@@ -38,8 +38,7 @@ class Linker:
     """Links sets whose Jaccard similarity is at least num / den.
 
     ``sets`` are rows ``(node, rep, elements, bits)``: a set's node, the id that stands for it, its
-    elements and their bitmap. ``groups`` are rows ``(signature, leader, node)``. If two sets share a
-    node, both are compared.
+    elements and their bitmap. If two sets share a node, both are compared.
     """
 
     def __init__(self, spark: SparkSession, num: int, den: int):
@@ -58,7 +57,20 @@ class Linker:
             "set-links",
         )
 
-    def missing_pairs(self, groups: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    def central_pairs(self, members: DataFrame) -> DataFrame:
+        """``(a, b)``: each group's nodes with its most central one, each pair once.
+
+        Central is the node whose groups have the most nodes: among copies with different edits that is
+        one near the original, which links with most of them.
+        """
+        sizes = written(self.spark, members.groupBy("signature").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
+        weights = members.join(sizes, "signature").groupBy("node").agg(F.sum("size").alias("weight"))
+        weighted = members.join(written(self.spark, weights, "node-weights"), "node")
+        leaders = weighted.groupBy("signature").agg(F.max_by("node", F.struct("weight", "node")).alias("leader"))
+        met = members.join(written(self.spark, leaders, "group-leaders"), "signature").where("node <> leader")
+        return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+    def missing_pairs(self, members: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs of nodes with a common signature whose components are still apart.
 
         Left out are pairs whose bitmaps show that they differ too much: a bit is the parity of a set's
@@ -67,8 +79,7 @@ class Linker:
         at = reps.join(labels, reps["rep"] == labels["node"], "left").select(
             reps["node"], F.coalesce("component", "rep").alias("component")
         )
-        members = groups.select("signature", "node").union(groups.select("signature", F.col("leader").alias("node")))
-        members = written(self.spark, members.distinct().join(written(self.spark, at, "set-labels"), "node"), "group-members")
+        members = written(self.spark, members.join(written(self.spark, at, "set-labels"), "node"), "group-members")
         counts = members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("nodes"))
         main = counts.groupBy("signature").agg(
             F.count(F.lit(1)).alias("apart"), F.max_by("component", F.struct("nodes", "component")).alias("main")
@@ -87,13 +98,16 @@ class Linker:
         met = others.join(apart, "signature").where((F.col("x_component") != F.col("component")) & can_link)
         return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
-    def components(self, groups: DataFrame, pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    def components(self, groups: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
         """``(node, component)`` of the representatives that are linked with any other.
 
-        ``pairs`` are the groups' distinct ``(a, b)`` of leader and node, ``reps`` all ``(node, rep)``.
+        ``groups`` are rows ``(signature, leader, node)``, ``reps`` all ``(node, rep)``.
         """
+        members = groups.select("signature", "node").union(groups.select("signature", F.col("leader").alias("node")))
+        members = written(self.spark, members.distinct(), "set-groups")
+        pairs = written(self.spark, self.central_pairs(members), "central-pairs")
         links = self.links(pairs, sets)
         labels = components(self.spark, links.where("linked").select("u", "v"))
-        more = self.missing_pairs(groups, reps, labels, sets).join(pairs, ["a", "b"], "left_anti")
+        more = self.missing_pairs(members, reps, labels, sets).join(pairs, ["a", "b"], "left_anti")
         links = links.union(self.links(written(self.spark, more, "missing-pairs"), sets))
         return components(self.spark, links.where("linked").select("u", "v"))

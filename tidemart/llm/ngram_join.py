@@ -15,12 +15,9 @@ threshold t (a fraction num / den). The join is exact and never looks at all pai
   very many documents share cost next to nothing. The frequent ones come from lossy counting over all
   documents (a count per task, kept from two on); they only steer the order, never the result.
 
-Equal sets are joined to one node first. Rows of one signature are compared with the smallest node of
-their group (frequent signatures are dealt over sub-groups first, whose smallest nodes are compared in
-turn), the pairs' similarity is counted exactly, and links are closed to components. Signatures whose
-nodes are then still in several components get all the comparisons between these components that are
-missing, but for pairs that small bitmaps of their sets rule out. Pairs within a component need
-none, as they cannot change it.
+Equal sets are joined to one node first. Signatures with several nodes are found in one sorted pass, in
+which frequent ones are dealt over sub-groups first, and whose nodes are then linked (see ``linking``):
+similarities are counted exactly, and links are closed to components.
 
 Cases: null, empty and blank-only texts have no shingles and link with nothing; a text with fewer words
 than n has its whole sequence as its one shingle. Rows without an id take the component of the others
@@ -263,14 +260,9 @@ class NgramJoin:
         named = reps.where("rep is not null")
 
         groups = written(self.spark, self.groups(self.frequent(prints)), "ngram-led")
-        pairs = written(
-            self.spark,
-            groups.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(),
-            "ngram-pairs",
-        )
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        nodes = groups.select(F.explode(F.array("leader", "node")).alias("node")).distinct()
         sets = self.sets(nodes, named)
-        labels = Linker(self.spark, self.num, self.den).components(groups, pairs, named, sets)
+        labels = Linker(self.spark, self.num, self.den).components(groups, named, sets)
 
         final = reps.join(labels, reps["rep"] == labels["node"], "left").select(
             reps["node"], "check", "n_shingles", F.coalesce("component", "rep").alias("component_id")
