@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import written
+from tidemart.llm.common import settled, written
 from tidemart.llm.hashing import WORDS, mix, signed, span_hashes, text_blocks, word_spans
 
 CLASSES = 64
@@ -369,5 +369,9 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
 def score_documents(spark: SparkSession, docs: DataFrame, train: DataFrame) -> DataFrame:
     """Scores of ``docs`` (doc_id, text) by the model of the texts of ``train``."""
     columns = (F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model, counts = learn(train.select(columns[1]))
-    return score(docs.select(*columns), model, counts)
+
+    def scores() -> DataFrame:
+        model, counts = learn(train.select(columns[1]))
+        return score(docs.select(*columns), model, counts)
+
+    return settled(spark, scores, "lm-result")

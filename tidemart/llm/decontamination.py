@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.bloom import filter_words, may_hold
-from tidemart.llm.common import whole_text, written
+from tidemart.llm.common import settled, whole_text, written
 from tidemart.llm.hashing import BASE, LETTERS, mix, signed, text_blocks, word_hashes
 
 # The positions that a seed looks at; the first mask also fits the shortest items.
@@ -170,6 +170,10 @@ def overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Data
     doc_id, text_hash, item_id, doc_start (first token of the overlap), item_start, n_tokens, n_equal
     (equal tokens in it) and best_window (most equal tokens in a window).
     """
+    return settled(spark, lambda: _overlaps(spark, docs, benchmark), "overlap-result")
+
+
+def _overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items, listed = benchmark_items(benchmark)
     around = stretches(docs, filter_words(listed, F.col("seed")))
     hits = around.select("stretch", F.explode("hits").alias("h")).select("stretch", "h.seed", F.col("h.at").alias("place"))

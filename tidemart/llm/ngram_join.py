@@ -21,7 +21,8 @@ similarities are counted exactly, and links are closed to components.
 
 Cases: null, empty and blank-only texts have no shingles and link with nothing; a text with fewer words
 than n has its whole sequence as its one shingle. Rows without an id take the component of the others
-with their text, or null. Repeated rows are linked like copies. Texts are read whole. Extra columns are
+with their text, or null. Repeated rows are linked like copies, and rows that share an id are one
+document, with the links of all its texts. Texts are read whole. Extra columns are
 ignored; an empty table gives no rows.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemart.llm.bloom import filter_words, may_hold
-from tidemart.llm.common import written
+from tidemart.llm.common import settled, whole_text, written
 from tidemart.llm.hashing import mix, shingle_sets, signed, text_blocks, word_hashes
 from tidemart.llm.linking import Linker, bitmap, set_node
 
@@ -133,7 +134,11 @@ class NgramJoin:
 
     def __init__(self, spark: SparkSession, docs: DataFrame, size: int = 5, num: int = 80, den: int = 100):
         self.spark = spark
-        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.select(
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            F.xxhash64(whole_text(F.col("text"))).alias("text_hash"),
+            F.col("text").cast("string").alias("text"),
+        )
         self.size, self.num, self.den = size, num, den
 
     def prints(self) -> DataFrame:
@@ -149,15 +154,16 @@ class NgramJoin:
                 keys, counts = np.unique(np.concatenate(pending), return_counts=True)
                 keys, counts = keys[counts > 1], counts[counts > 1]
                 none = pa.nulls(len(keys), pa.int64())
-                return batch_of(names, none, none, none, none, pa.array(signed(keys)), pa.array(counts))
+                return batch_of(names, none, none, none, none, none, pa.array(signed(keys)), pa.array(counts))
 
-            names = ["doc_id", "n_shingles", "node", "check", "signature", "docs"]
+            names = ["doc_id", "text_hash", "n_shingles", "node", "check", "signature", "docs"]
             for block, sets in text_sets(batches, size):
                 named = [set_node(s) for s in sets]
                 none = pa.nulls(len(sets), pa.int64())
                 yield batch_of(
                     names,
                     block.column(0),
+                    block.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     *(pa.array([pair[k] for pair in named], pa.int64()) for k in (0, 1)),
                     none,
@@ -176,7 +182,7 @@ class NgramJoin:
             if pending:
                 yield flush()
 
-        schema = "doc_id bigint, n_shingles bigint, node bigint, check bigint, signature bigint, docs bigint"
+        schema = "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, check bigint, signature bigint, docs bigint"
         return written(self.spark, self.docs.mapInArrow(printed, schema), "ngram-prints")
 
     def frequent(self, prints: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -252,9 +258,12 @@ class NgramJoin:
         return written(self.spark, rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "ngram-sets")
 
     def run(self) -> DataFrame:
-        """One row per document: doc_id, n_shingles, component_id, and the links of its set."""
+        """One row per document: doc_id, text_hash, n_shingles and component_id."""
+        return settled(self.spark, self._run, "ngram-result")
+
+    def _run(self) -> DataFrame:
         prints = self.prints()
-        docs = prints.where("node is not null").select("doc_id", "n_shingles", "node", "check")
+        docs = prints.where("node is not null").select("doc_id", "text_hash", "n_shingles", "node", "check")
         reps = docs.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("rep"))
         reps = written(self.spark, reps, "ngram-sets-named")
         named = reps.where("rep is not null")
@@ -270,10 +279,34 @@ class NgramJoin:
         final = written(self.spark, final, "ngram-components")
         found = docs.where("n_shingles > 0").join(final, ["node", "check", "n_shingles"])
         alone = docs.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-        columns = ["doc_id", "n_shingles", "component_id"]
+        columns = ["doc_id", "text_hash", "n_shingles", "component_id"]
         return found.select(*columns).union(alone.select(*columns))
 
 
 def ngram_components(spark: SparkSession, docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    return NgramJoin(spark, docs, size, num, den).run()
+    return NgramJoin(spark, docs, size, num, den).run().drop("text_hash")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each component of ``docs``, with all its columns: that of the smallest doc_id.
+
+    Rows without shingles, and rows without an id that are linked with none that has one, stay, but for
+    repeats of the same id and text. Rows that share an id are one document: of several texts under the
+    smallest id of a component, that of the smallest hash stays.
+    """
+    found = NgramJoin(spark, docs, size, num, den).run()
+    linked = F.col("component_id").isNotNull() & (F.col("n_shingles") > 0)
+    first = found.where(linked & F.col("doc_id").isNotNull()).groupBy("component_id").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first")
+    )
+    stay = first.select("first.*").union(found.where(~linked).select("doc_id", "text_hash")).distinct()
+    stay = written(spark, stay.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")), "ngram-kept")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+        F.col("doc_id").cast("bigint").alias("own_id"),
+        F.xxhash64(whole_text(F.col("text"))).alias("own_hash"),
+    ).join(stay, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")), "left_semi")
+    same = Window.partitionBy("own_id", "own_hash").orderBy(F.lit(1))
+    rows = rows.withColumn("nth", F.row_number().over(same)).where("nth = 1").select("doc")
+    return rows.select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.llm.common import written
 from tidemart.llm.hashing import WORDS, gram_hashes, span_hashes, text_blocks, word_spans
@@ -220,3 +221,16 @@ def quality(
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(values))], names=["doc_id", "score"])
 
     return described.mapInArrow(scored, "doc_id bigint, score double"), model
+
+
+def with_score(docs: DataFrame, model: Discriminant, column: str = "quality_score") -> DataFrame:
+    """``docs`` with all its columns and the score of each row in ``column``, a new name."""
+    if column in docs.columns:
+        raise ValueError(f"there is a column {column} already")
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, data, offsets in text_blocks(batch):
+                yield block.append_column(column, pa.array(model.score(statistics(data, offsets))))
+
+    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
