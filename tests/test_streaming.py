@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tidemart.sinks.lake import LakePaths
 from tidemart.sources.topic import landed_topic_source, topic_options, topic_source
 from tidemart.streaming.lakehouse import (
     AVAILABLE_NOW,
+    LateRows,
     await_queries,
     late_rows_dropped,
     start_from_bronze,
@@ -174,3 +176,63 @@ def test_topic_options(spark):
     # No connector package here: Spark must say so, not something else.
     with pytest.raises(Exception, match="(?i)kafka"):
         topic_source(spark, options)
+
+
+def failing(delivery, name, after=0):
+    """A memory-less stream that raises once it has seen ``after`` batches."""
+
+    def write(batch, number):
+        if number >= after:
+            raise ValueError(f"{name} broke")
+
+    records = landed_topic_source(delivery.session, delivery.folder, files_per_trigger=1)
+    return records.writeStream.foreachBatch(write).trigger(availableNow=True).start()
+
+
+@pytest.mark.parametrize("after", [0, 2])
+def test_a_failure_is_always_raised(delivery, after):
+    for k in range(4):
+        delivery.send(at(f"e{k}", "10:00"))
+    records = landed_topic_source(delivery.session, delivery.folder, files_per_trigger=1)
+    good = start_lakehouse(records, delivery.paths, AVAILABLE_NOW, layers=("bronze", "quarantine"))
+    bad = failing(delivery, "third", after)
+    if not after:
+        with pytest.raises(Exception):
+            bad.awaitTermination()
+    with pytest.raises(Exception, match="third broke"):
+        await_queries([*good, bad])
+    assert not any(query.isActive for query in good)
+
+
+def test_no_lateness_is_no_lateness(delivery):
+    delivery.send(at("a", "10:00"))
+    queries = delivery.run(minutes=0, layers=("silver",))
+    assert queries[0].lastProgress["eventTime"]["watermark"].startswith("2025-01-01T10:00:00")
+
+
+def test_late_rows_are_counted_over_all_batches(delivery):
+    counter = LateRows()
+    delivery.spark.streams.addListener(counter)
+    delivery.session.streams.addListener(counter)
+    delivery.session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        delivery.send(at("a", "10:00"))
+        delivery.send(at("b", "12:00"))
+        delivery.send(at("late", "09:00"))
+        for k in range(5):
+            delivery.send(at(f"c{k}", "12:00"))
+        query = delivery.run(layers=("silver",))[0]
+        for _ in range(50):
+            if counter.dropped.get(str(query.id)):
+                break
+            time.sleep(0.2)
+        assert counter.dropped[str(query.id)] == 1 and late_rows_dropped(query) == 0
+    finally:
+        delivery.session.streams.removeListener(counter)
+        delivery.spark.streams.removeListener(counter)
+        delivery.session.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_state_partitions_are_the_callers_choice(spark):
+    assert stream_session(spark, 5).conf.get("spark.sql.shuffle.partitions") == "5"
+    assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == "8"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tests.samples import event, payload, silver
 from tidemart.operators import checks, marts
+from tidemart.operators.dedup import batch_dedup_any
 from tidemart.operators.conform import conform, contract_breaches
 from tidemart.operators.ingest import bronze_projection, topic_encode
 from tidemart.operators.validate import validate_contract_rules
@@ -24,7 +25,7 @@ from tidemart.schema import (
     SILVER_TABLE,
 )
 from tidemart.session import scratch_dir
-from tidemart.sinks.lake import gold_write, overwrite_by_date
+from tidemart.sinks.lake import gold_write, overwrite_by_date, replace_range
 from tidemart.sinks.warehouse import Warehouse, jdbc_options, warehouse_namespaces, warehouse_write
 from tidemart.sources.adapters import events_as_silver
 from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
@@ -170,7 +171,8 @@ def test_topic_encode_round_trip(spark):
 def test_jdbc_options_keep_the_table(spark):
     options = jdbc_options("jdbc:x://host/db", "analytics.daily_kpis", "u", "p", "some.Driver")
     assert options["truncate"] == "true" and options["dbtable"] == "analytics.daily_kpis"
-    assert int(options["numPartitions"]) > 0
+    assert "numPartitions" not in options
+    assert jdbc_options("u", "t", "u", "p", "d", 3)["numPartitions"] == "3"
 
 
 def daily_inputs(spark, tmp_path):
@@ -231,3 +233,73 @@ def test_namespaces_are_created_once(spark, tmp_path):
 
 def test_scratch_is_under_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+
+
+def test_topic_encode_keeps_microseconds(spark):
+    stamp = datetime(2025, 1, 1, 10, 0, 0, 123456, tzinfo=timezone.utc)
+    text = topic_encode(silver(spark, event(event_time=stamp))).first().value.decode()
+    assert json.loads(text)["event_time"] == "2025-01-01T10:00:00.123456+00:00"
+
+
+def test_product_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("category,extra,product_id,price_band\naccessories,1,sku-100,low\n")
+    row = product_dim_scan(spark, str(tmp_path)).first()
+    assert (row.product_id, row.category, row.price_band) == ("sku-100", "accessories", "low")
+    (tmp_path / "p.csv").write_text("category,product_id\naccessories,sku-100\n")
+    with pytest.raises(ValueError, match="price_band"):
+        product_dim_scan(spark, str(tmp_path))
+
+
+def test_values_that_do_not_fit_raise(spark):
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_any_row_per_id_is_cut_before_the_shuffle(spark):
+    frame = batch_dedup_any(silver(spark, event(), event(), event(event_id="b")))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert frame.count() == 2 and "WindowGroupLimit" in plan and "SortAggregate" not in plan
+
+
+def test_daily_run_reports_an_empty_window(spark, tmp_path):
+    silver_path, products_path = daily_inputs(spark, tmp_path)
+    target = Warehouse("staging_e", "analytics_e", str(tmp_path / "wh"))
+    with pytest.raises(Exception, match="(?i)check"):
+        daily_run(
+            spark, silver_path, products_path, str(tmp_path / "gold"), target,
+            start=date(2030, 1, 1), work_path=str(tmp_path / "work"),
+        )
+    assert not (tmp_path / "work").exists()
+
+
+def test_daily_run_refuses_broken_keys_before_publishing(spark, tmp_path):
+    silver_path, products_path = daily_inputs(spark, tmp_path)
+    twice = silver(spark, event(event_id="a", user_id="u1"), event(event_id="b", user_id="u2"))
+    overwrite_by_date(twice, silver_path)
+    target = Warehouse("staging_k", "analytics_k", str(tmp_path / "wh"))
+    gold = tmp_path / "gold"
+    with pytest.raises(ValueError, match="session_metrics unique:"):
+        daily_run(spark, silver_path, products_path, str(gold), target)
+    assert not gold.exists()
+    rule = "unique:" + ",".join(SESSION_METRICS_TABLE.key)
+    daily_run(spark, silver_path, products_path, str(gold), target, accepted_breaches=(rule,))
+    assert spark.table("analytics_k.session_metrics").count() == 2
+
+
+def test_a_range_is_replaced_with_all_its_days(spark, tmp_path):
+    """An event moves from one day of the range to another; its old day is gone everywhere."""
+    silver_path, products_path = daily_inputs(spark, tmp_path)
+    gold = str(tmp_path / "gold")
+    target = Warehouse("staging_r", "analytics_r", str(tmp_path / "wh"))
+    daily_run(spark, silver_path, products_path, gold, target)
+    before = {str(r.event_date) for r in spark.table("analytics_r.daily_kpis").collect()}
+    assert before == {"2025-01-01", "2025-01-02"}
+    moved = silver(spark, event(event_id="e3", event_time="2025-01-01T09:00:00+00:00"), event(event_id="e1"))
+    replace_range(moved, silver_path, date(2025, 1, 1), date(2025, 1, 2))
+    assert {str(r.event_date) for r in spark.read.parquet(silver_path).collect()} == {"2025-01-01"}
+    for _ in range(2):
+        daily_run(spark, silver_path, products_path, gold, target, start=date(2025, 1, 1), end=date(2025, 1, 2))
+        for frame in (
+            spark.table("analytics_r.daily_kpis"), spark.table("staging_r.user_events_silver"), spark.read.parquet(f"{gold}/daily_kpis"),
+        ):
+            assert {str(r.event_date) for r in frame.collect()} == {"2025-01-01"}
+        assert spark.table("staging_r.user_events_silver").count() == 2

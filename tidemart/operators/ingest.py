@@ -28,8 +28,12 @@ def event_date_fallback() -> Column:
 
 
 def topic_encode(events: DataFrame) -> DataFrame:
-    """Events as topic records: key is the event id, value is JSON with nulls kept."""
-    payload = F.to_json(F.struct(*FIELD_NAMES), {"ignoreNullFields": "false"})
+    """Events as topic records: key is the event id, value is JSON with nulls kept.
+
+    Times keep their microseconds, as UTC with offset.
+    """
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
+    payload = F.to_json(F.struct(*FIELD_NAMES), options)
     return events.select(
         F.col("event_id").cast("binary").alias("key"), payload.cast("binary").alias("value")
     )

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions.columns import (
+    AROUND,
     BLANK,
+    LARGEST_AMOUNT,
     NUMBER,
     compact_errors,
     is_blank,
@@ -107,9 +109,25 @@ def _text_values(bronze: DataFrame) -> DataFrame:
 
 
 def _malformed() -> Column:
-    """Whether the payload is not a JSON object; an empty payload leaves no corrupt text."""
-    nothing = F.coalesce(F.col("raw_payload"), F.lit("")).rlike(BLANK)
-    return F.col(_CORRUPT).isNotNull() | nothing
+    """Whether the payload is not one JSON object; an empty payload leaves no corrupt text.
+
+    ``from_json`` stops after the first value. Only where a brace closes before the payload's end, or
+    none at its end, is there anything behind it to be judged, and the whole payload parsed again.
+    """
+    text = F.coalesce(F.col("raw_payload"), F.lit(""))
+    nothing = text.rlike(BLANK)
+    more = F.instr(text, "}") != F.length(F.regexp_replace(text, r"[ \t\r\n]+\z", ""))
+    return F.col(_CORRUPT).isNotNull() | nothing | F.when(more, ~_is_one_value(text)).otherwise(F.lit(False))
+
+
+def _is_one_value(text: Column) -> Column:
+    """Whether nothing follows a JSON value: then it can stand in an array and in an object. Text behind
+    it would have to begin with the closing bracket of both."""
+    in_array = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _TEXT_OPTIONS)
+    in_object = F.from_json(
+        F.concat(F.lit('{"value":'), text, F.lit("}")), f"value string, {_CORRUPT} string", _TEXT_OPTIONS
+    )
+    return F.coalesce((F.size(in_array) == 1) & in_object[_CORRUPT].isNull(), F.lit(False))
 
 
 def _json_type(name: str) -> Column:
@@ -144,7 +162,7 @@ def _version() -> Column:
 
 def _amount() -> Column:
     """``order_amount`` as a finite number, from a JSON number or from number text."""
-    text = F.trim("order_amount")
+    text = F.regexp_replace("order_amount", AROUND, "")
     number = F.when(text.rlike(NUMBER), text.try_cast("double"))
     flag = F.when(text == "true", F.lit(1.0)).otherwise(F.lit(0.0))
     # Nested, not joined by AND: a null on the left of AND would still evaluate the lookup.
@@ -229,6 +247,15 @@ def contract_errors() -> Column:
             ).when(amount.isNull(), F.lit("order_amount must be numeric for purchase events")),
         )
     )
+    # Other events may go without an amount, but one that is given must be kept.
+    given = F.col("order_amount").isNotNull()
+    checks.append(
+        F.when(
+            ~F.coalesce(purchase, F.lit(False)) & given & amount.isNull(),
+            F.lit("order_amount must be numeric"),
+        )
+    )
+    checks.append(F.when(F.abs(amount) >= LARGEST_AMOUNT, F.lit("order_amount is too large")))
     return F.when(_malformed(), F.array(F.lit(MALFORMED))).otherwise(compact_errors(checks))
 
 
@@ -292,8 +319,8 @@ def coerce_events(bronze: DataFrame, fail_fast: bool = False) -> DataFrame:
     shown = [*FIELD_NAMES, "partition", "offset"]
     if not fail_fast:
         return validated.filter(F.size("validation_errors") == 0).select(*shown)
+    # A filter, which unlike a column no later select can prune.
     text = F.concat_ws("; ", "validation_errors")
-    checked = F.when(F.size("validation_errors") > 0, F.raise_error(text)).otherwise(
-        F.col("event_id")
-    )
-    return validated.withColumn("event_id", checked).select(*shown)
+    refuse = F.raise_error(text).cast("boolean")
+    checked = F.when(F.size("validation_errors") > 0, refuse).otherwise(F.lit(True))
+    return validated.filter(checked).select(*shown)

@@ -7,6 +7,7 @@ and the product mart that makes three column-pruned scans of Silver.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import date
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.columns import amount_or_zero, as_money, is_purchase, purchase_amount
 from tidemart.operators.checks import enforce, run_checks
+from tidemart.operators.conform import all_breaches
 from tidemart.operators.dedup import dedup_latest
 from tidemart.operators.marts import (
     distinct_per_day,
@@ -32,6 +34,7 @@ from tidemart.schema import (
     PRODUCT_METRICS_TABLE,
     SESSION_METRICS_TABLE,
     SILVER_TABLE,
+    TableContract,
 )
 from tidemart.session import scratch_dir
 from tidemart.sinks.lake import gold_write
@@ -39,6 +42,8 @@ from tidemart.sinks.warehouse import Warehouse, jdbc_options, jdbc_write
 from tidemart.sinks.warehouse import warehouse_namespaces, warehouse_write
 from tidemart.sources.lake import product_dim_scan, silver_scan
 
+log = logging.getLogger(__name__)
+
 
 def session_rollup(silver: DataFrame) -> DataFrame:
     """One row per (day, session, user) with all that the day, funnel and session marts sum."""
@@ -103,6 +108,7 @@ class JdbcTarget:
     user: str
     password: str
     driver: str
+    connections: int | None = None
 
 
 def daily_run(
@@ -115,55 +121,94 @@ def daily_run(
     end: date | None = None,
     load_warehouse: bool = True,
     jdbc: JdbcTarget | None = None,
+    accepted_breaches: tuple[str, ...] = (),
+    work_path: str | None = None,
 ) -> DataFrame:
     """Build, write and check everything; returns the verdicts, raises when one fails.
 
     Repeated ids are resolved before anything is counted. Without dates the whole of Gold and the
-    warehouse is rebuilt, otherwise only the given days. ``load_warehouse`` off leaves the marts
-    in Gold alone; the checks then run on Gold.
+    warehouse is rebuilt, otherwise the given days are replaced. ``load_warehouse`` off leaves the
+    marts in Gold alone; the checks then run on Gold.
+
+    Silver and the marts are held against the table contracts before anything is published: a breach
+    raises, unless its rule (such as ``unique:event_date,session_id``) is in ``accepted_breaches``. Work
+    tables are under ``work_path``, or the shared scratch folder, and removed at the end, also of a run
+    that fails.
     """
-    only_dates = bool(start or end)
+    work = work_path or scratch_dir(spark, "daily-run")
+    try:
+        return _daily_run(
+            spark, silver_path, products_path, gold_root, warehouse, start, end, load_warehouse, jdbc, accepted_breaches, work
+        )
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(work)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _daily_run(
+    spark: SparkSession,
+    silver_path: str,
+    products_path: str,
+    gold_root: str,
+    warehouse: Warehouse,
+    start: date | None,
+    end: date | None,
+    load_warehouse: bool,
+    jdbc: JdbcTarget | None,
+    accepted_breaches: tuple[str, ...],
+    work: str,
+) -> DataFrame:
     products = product_dim_scan(spark, products_path)
     latest = dedup_latest(silver_scan(spark, silver_path, start, end))
 
-    # Silver is deduplicated and written once, with amounts as they came, and everything after
-    # reads the columns it needs from there; the warehouse table rounds amounts to cents. Both
-    # work tables are written as the tasks hold them: no one reads them by date.
-    work = scratch_dir(spark, "daily-run")
-    latest.write.parquet(f"{work}/silver")
-    silver = spark.read.parquet(f"{work}/silver")
-    session_rollup(silver).write.parquet(f"{work}/session_rollup")
-    rollup = spark.read.parquet(f"{work}/session_rollup")
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        """Written as the tasks hold it: no one reads work tables by date."""
+        frame.write.parquet(f"{work}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{work}/{name}")
 
+    # Silver is deduplicated and written once, with amounts as they came, and everything after
+    # reads the columns it needs from there; the warehouse table rounds amounts to cents.
+    silver = kept(latest, "silver")
+    rollup = kept(session_rollup(silver), "session_rollup")
     marts = {
         DAILY_KPIS_TABLE.name: daily_kpis_from_rollup(rollup, silver),
         CONVERSION_FUNNEL_TABLE.name: conversion_funnel_from_rollup(rollup),
         SESSION_METRICS_TABLE.name: session_metrics_from_rollup(rollup),
         PRODUCT_METRICS_TABLE.name: product_daily_metrics(silver, products),
     }
-    gold = {
-        name: spark.read.parquet(gold_write(mart, gold_root, name, only_dates))
-        for name, mart in marts.items()
-    }
-    checked = dict(gold)
+    marts = {name: kept(mart, f"mart-{name}") for name, mart in marts.items()}
+    refuse_breaches([(silver, SILVER_TABLE), *((marts[c.name], c) for c in MART_TABLES)], accepted_breaches)
+
+    checked = {}
+    for name, mart in marts.items():
+        path = gold_write(mart, gold_root, name, start=start, end=end)
+        # A dataset without rows has no files to take a schema from.
+        checked[name] = spark.read.schema(mart.schema).parquet(path)
+    staged = silver
     if load_warehouse:
         warehouse_namespaces(spark, warehouse)
-        staged = warehouse_write(silver, warehouse.staging, SILVER_TABLE, only_dates)
+        staged = spark.table(warehouse_write(silver, warehouse.staging, SILVER_TABLE, start=start, end=end))
         for contract in MART_TABLES:
-            mart = gold[contract.name]
-            if start:
-                mart = mart.filter(F.col("event_date") >= F.lit(start))
-            if end:
-                mart = mart.filter(F.col("event_date") <= F.lit(end))
-            table = warehouse_write(mart, warehouse.analytics, contract, only_dates)
+            table = warehouse_write(marts[contract.name], warehouse.analytics, contract, start=start, end=end)
             checked[contract.name] = spark.table(table)
-        silver = spark.table(staged)
     if jdbc:
-        copy_to_database(silver, checked, warehouse, jdbc)
+        copy_to_database(staged, checked, warehouse, jdbc)
     verdicts = run_checks(
-        silver, checked[DAILY_KPIS_TABLE.name], checked[PRODUCT_METRICS_TABLE.name]
+        staged, checked[DAILY_KPIS_TABLE.name], checked[PRODUCT_METRICS_TABLE.name]
     )
-    return enforce(verdicts)
+    verdicts = enforce(verdicts)
+    # The verdicts outlive the work tables they were counted from.
+    return spark.createDataFrame(verdicts.collect(), verdicts.schema)
+
+
+def refuse_breaches(frames: list[tuple[DataFrame, TableContract]], accepted: tuple[str, ...] = ()) -> None:
+    """Raise if a frame breaks its table's contract by a rule that is not accepted; log all breaches."""
+    found = all_breaches(frames).where("breaches > 0").collect()
+    for row in found:
+        log.warning("%s: %s, %d rows", row.table_name, row.rule, row.breaches)
+    refused = [f"{row.table_name} {row.rule} ({row.breaches})" for row in found if row.rule not in accepted]
+    if refused:
+        raise ValueError("contract breaches: " + "; ".join(refused))
 
 
 def copy_to_database(
@@ -179,5 +224,6 @@ def copy_to_database(
             target.user,
             target.password,
             target.driver,
+            target.connections,
         )
         jdbc_write(frame, contract, options)

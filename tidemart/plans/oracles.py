@@ -447,9 +447,7 @@ ORACLES: dict[str, str] = {
     ),
     "topic_encode": _with(
         SILVER,
-        f"SELECT * REPLACE (date_trunc('milliseconds', event_time) AS event_time, "
-        f"date_trunc('milliseconds', ingest_time) AS ingest_time) "
-        f"FROM (SELECT {_FIELD_LIST} FROM silver)",
+        f"SELECT {_FIELD_LIST} FROM silver",
     ),
     "product_left_join": _with(
         f"{SILVER}, {PRODUCTS}", "SELECT * FROM silver LEFT JOIN products USING (product_id)"

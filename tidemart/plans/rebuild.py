@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.dedup import dedup_latest
 from tidemart.operators.validate import RULE_SETS, route_valid
-from tidemart.sinks.lake import overwrite_by_date
+from tidemart.sinks.lake import overwrite_by_date, replace_range
 from tidemart.sources.lake import bronze_scan
 
 
@@ -32,11 +32,15 @@ def rebuild_silver_from_bronze(
 
     Bronze is dated by topic time and an event may arrive on any later day, so a partial rebuild
     reads Bronze to its end. ``bronze_since`` lets a caller who knows how far producers' clocks
-    run ahead skip older Bronze days; unset, all of Bronze is read and the result is exact.
+    run ahead skip older Bronze days; unset, all of Bronze is read and the result is exact. The whole
+    range is replaced, so an event that moved to another day of it leaves nothing on its old one.
     """
     silver = rebuilt_silver(bronze_scan(spark, bronze_path, bronze_since), rules)
     if start:
         silver = silver.filter(F.col("event_date") >= F.lit(start))
     if end:
         silver = silver.filter(F.col("event_date") <= F.lit(end))
-    overwrite_by_date(silver, silver_path, only_dates=bool(start or end))
+    if start or end:
+        replace_range(silver, silver_path, start, end)
+    else:
+        overwrite_by_date(silver, silver_path)

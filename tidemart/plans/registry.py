@@ -59,6 +59,7 @@ from tidemart.streaming.lakehouse import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+STATE_PARTITIONS = 8
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -437,7 +438,7 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_layers(spark: SparkSession, sf_dir: str, *layers: str) -> LakePaths:
     """The feed run through the named layers' queries to its end."""
     paths = LakePaths(scratch_dir(spark, "lake"))
-    records = landed_topic_source(stream_session(spark), _landed_feed(spark, sf_dir))
+    records = landed_topic_source(stream_session(spark, STATE_PARTITIONS), _landed_feed(spark, sf_dir))
     await_queries(start_lakehouse(records, paths, AVAILABLE_NOW, layers=layers))
     return paths
 
@@ -463,7 +464,7 @@ def _quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lakehouse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per layer and date, with the topic read once: Silver and Quarantine follow Bronze."""
     paths = _stream_layers(spark, sf_dir, "bronze")
-    await_queries(start_from_bronze(stream_session(spark), paths, AVAILABLE_NOW))
+    await_queries(start_from_bronze(stream_session(spark, STATE_PARTITIONS), paths, AVAILABLE_NOW))
     layers = {
         "bronze": paths.bronze,
         "silver": paths.stream_silver,
@@ -486,7 +487,7 @@ def _two_deliveries(
     """Run the stream over ``first``, then restart it from its checkpoint with ``second`` added."""
     paths = LakePaths(scratch_dir(spark, "lake"))
     topic = scratch_dir(spark, "topic")
-    session = stream_session(spark)
+    session = stream_session(spark, STATE_PARTITIONS)
     for delivery in (first, second):
         delivery.write.mode("append").parquet(topic)
         records = landed_topic_source(session, topic)
@@ -508,7 +509,7 @@ def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_time_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the watermark stands once the feed has been read."""
     paths = LakePaths(scratch_dir(spark, "lake"))
-    records = landed_topic_source(stream_session(spark), _landed_feed(spark, sf_dir))
+    records = landed_topic_source(stream_session(spark, STATE_PARTITIONS), _landed_feed(spark, sf_dir))
     queries = start_lakehouse(records, paths, AVAILABLE_NOW, layers=("silver",))
     await_queries(queries)
     reached = queries[0].lastProgress["eventTime"]["watermark"]

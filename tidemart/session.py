@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 ENGINE_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # A value that does not fit its column raises instead of becoming null.
+    "spark.sql.ansi.enabled": "true",
     # HotSpot never compiles a method of more than 8000 bytecodes. The contract rules generate
     # such a method; with this limit Spark emits them as several small ones instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -40,17 +42,17 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return tune(builder.getOrCreate())
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams.
 
-    The number of state partitions is frozen at a query's first start, so it is taken from the
-    cores at hand rather than from the batch shuffle setting, and state lives in RocksDB (on
-    executor disk, with changelogs in the checkpoint) rather than on the heap.
+    The number of state partitions is fixed at a query's first start, for as long as its checkpoint
+    lives. It is the caller's choice, or the configured ``spark.sql.shuffle.partitions``; the cores that
+    happen to be there when a stream starts play no part. State lives in RocksDB (on executor disk, with
+    changelogs in the checkpoint) rather than on the heap.
     """
     session = tune(spark.newSession())
-    session.conf.set(
-        "spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism)
-    )
+    partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     session.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"

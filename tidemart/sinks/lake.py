@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -90,8 +93,46 @@ def overwrite_by_date(frame: DataFrame, path: str, only_dates: bool = False) ->
     )
 
 
-def gold_write(frame: DataFrame, gold_root: str, name: str, only_dates: bool = False) -> str:
-    """Write a mart under ``gold_root`` and return its path."""
+def replace_range(frame: DataFrame, path: str, start: date | None, end: date | None) -> None:
+    """Replace the days from ``start`` to ``end`` of a date-partitioned dataset by those of ``frame``.
+
+    The range is what is replaced: a day of it that the frame has no rows for is gone afterwards. The new
+    files are written beside the dataset first, out of readers' sight, and moved in day by day.
+    """
+    spark = frame.sparkSession
+    staged = f"{path}/_range-{uuid.uuid4().hex}"
+    frame.hint("rebalance", F.col("event_date")).write.partitionBy("event_date").parquet(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def days(folder: str) -> list[str]:
+        names = [status.getPath().getName() for status in files.listStatus(hadoop.Path(folder))]
+        return [name for name in names if name.startswith("event_date=")]
+
+    for name in days(path):
+        day = name.removeprefix("event_date=")
+        if (not start or day >= start.isoformat()) and (not end or day <= end.isoformat()):
+            files.delete(hadoop.Path(f"{path}/{name}"), True)
+    for name in days(staged):
+        if not files.rename(hadoop.Path(f"{staged}/{name}"), hadoop.Path(f"{path}/{name}")):
+            raise OSError(f"cannot move {staged}/{name} to {path}")
+    files.delete(hadoop.Path(staged), True)
+
+
+def gold_write(
+    frame: DataFrame,
+    gold_root: str,
+    name: str,
+    only_dates: bool = False,
+    start: date | None = None,
+    end: date | None = None,
+) -> str:
+    """Write a mart under ``gold_root`` and return its path: all of it, the dates in the frame, or
+    the range from ``start`` to ``end``."""
     path = f"{gold_root}/{name}"
-    overwrite_by_date(frame, path, only_dates)
+    if start or end:
+        replace_range(frame, path, start, end)
+    else:
+        overwrite_by_date(frame, path, only_dates)
     return path

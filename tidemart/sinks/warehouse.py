@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +44,21 @@ def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def warehouse_write(
-    frame: DataFrame, namespace: str, contract: TableContract, only_dates: bool = False
+    frame: DataFrame,
+    namespace: str,
+    contract: TableContract,
+    only_dates: bool = False,
+    start: date | None = None,
+    end: date | None = None,
 ) -> str:
-    """Overwrite a contract table, or with ``only_dates`` the dates in the frame; its name."""
+    """Overwrite a contract table, with ``only_dates`` the dates in the frame, or with ``start`` or
+    ``end`` that range of dates; its name."""
     table = f"{namespace}.{contract.name}"
     rows = conform(frame, contract).hint("rebalance", F.col("event_date"))
     spark = frame.sparkSession
-    if only_dates and spark.catalog.tableExists(table):
+    if (only_dates or start or end) and spark.catalog.tableExists(table):
+        if start or end:
+            _drop_days(rows, table, start, end)
         with dynamic_overwrite(spark):
             rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     else:
@@ -57,19 +66,31 @@ def warehouse_write(
     return table
 
 
+def _drop_days(rows: DataFrame, table: str, start: date | None, end: date | None) -> None:
+    """Drop the table's days in the range that ``rows`` has none of; an insert leaves those alone."""
+    spark = rows.sparkSession
+    kept = {str(row.event_date) for row in rows.select("event_date").distinct().collect()}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        day = row.partition.removeprefix("event_date=")
+        in_range = (not start or day >= start.isoformat()) and (not end or day <= end.isoformat())
+        if in_range and day not in kept:
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION (event_date = DATE '{day}')")
+
+
 def jdbc_options(
-    url: str, table: str, user: str, password: str, driver: str, connections: int = 16
+    url: str, table: str, user: str, password: str, driver: str, connections: int | None = None
 ) -> dict[str, str]:
-    """Options of the JDBC copy: keep the table and its keys on overwrite, and cap the number
-    of connections that the tasks open at once."""
-    return {
+    """Options of the JDBC copy: keep the table and its keys on overwrite. ``connections`` is the
+    caller's bound on connections at a time, which are also the tasks; unset, each partition of the
+    frame has its own."""
+    bound = {"numPartitions": str(connections)} if connections else {}
+    return bound | {
         "url": url,
         "dbtable": table,
         "user": user,
         "password": password,
         "driver": driver,
         "truncate": "true",
-        "numPartitions": str(connections),
         "batchsize": "10000",
     }
 

@@ -39,8 +39,15 @@ def bronze_scan(spark: SparkSession, path: str, since: date | None = None) -> Da
 
 
 def product_dim_scan(spark: SparkSession, path: str) -> DataFrame:
-    """The product dimension from CSV files with a header; all columns are text."""
-    return spark.read.schema(PRODUCT_SCHEMA).option("header", True).csv(path)
+    """The product dimension from CSV files, its columns found by their header; all are text.
+
+    Other columns are ignored, and a file without one of the dimension's columns raises.
+    """
+    rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    absent = [name for name in PRODUCT_SCHEMA.fieldNames() if name not in rows.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return rows.select(*PRODUCT_SCHEMA.fieldNames())
 
 
 def event_json_array_scan(
