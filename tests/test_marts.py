@@ -40,7 +40,7 @@ def test_one_session_through_all_marts(spark):
     assert marts.conversion_funnel(events).first().purchase_users == 1
     session = marts.session_metrics(events).first()
     assert (session.purchase_count, session.session_duration_seconds) == (1, 120)
-    listed = products(spark, ("sku-100", "accessories", "low"))
+    listed = products(spark, ("product-a", "accessories", "low"))
     product = marts.product_daily_metrics(events, listed).first()
     assert (product.purchases, product.category) == (1, "accessories")
 
@@ -50,11 +50,11 @@ def test_dedup_keeps_latest_and_is_idempotent(spark):
         spark,
         event(ingest_time="2025-01-01T10:00:06+00:00", device_type="tablet"),
         event(),
-        event(event_id="evt-2"),
+        event(event_id="event-b"),
     )
     once = dedup_latest(events)
     kept = {row.event_id: row.device_type for row in once.collect()}
-    assert kept == {"evt-1": "tablet", "evt-2": "mobile"}
+    assert kept == {"event-a": "tablet", "event-b": "mobile"}
     assert sorted(dedup_latest(once).collect()) == sorted(once.collect())
 
 
@@ -135,17 +135,17 @@ def test_product_join_unmatched_and_repeated(spark):
     )
     listed = products(
         spark,
-        ("sku-100", "a", "low"),
-        ("sku-100", "a", "low"),
-        ("sku-100", "b", "high"),
+        ("product-a", "a", "low"),
+        ("product-a", "a", "low"),
+        ("product-a", "b", "high"),
     )
     rows = {
         (row.product_id, row.category): (row.views, row.revenue)
         for row in marts.product_daily_metrics(events, listed).collect()
     }
     assert rows == {
-        ("sku-100", "a"): (2, 5.0),
-        ("sku-100", "b"): (1, 2.5),
+        ("product-a", "a"): (2, 5.0),
+        ("product-a", "b"): (1, 2.5),
         ("sku-unknown", None): (1, 0.0),
     }
 

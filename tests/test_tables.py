@@ -43,16 +43,16 @@ def two_days(spark):
 
 
 def test_json_array_file_over_many_lines(spark, tmp_path):
-    events = [payload(), payload(event_id="evt-2", event_type="purchase", order_amount=19.0)]
+    events = [payload(), payload(event_id="event-b", event_type="purchase", order_amount=19.0)]
     (tmp_path / "events.json").write_text(json.dumps(events, indent=2))
     rows = event_json_array_scan(spark, str(tmp_path)).orderBy("event_id").collect()
-    assert [row.event_id for row in rows] == ["evt-1", "evt-2"]
+    assert [row.event_id for row in rows] == ["event-a", "event-b"]
     assert (rows[0].order_amount, rows[1].order_amount) == (None, 19.0)
     assert rows[0].event_time is not None and rows[0].schema_version == 1
 
 
 def test_json_arrays_one_per_line(spark, tmp_path):
-    line = json.dumps([payload(), payload(event_id="evt-2")])
+    line = json.dumps([payload(), payload(event_id="event-b")])
     (tmp_path / "events.json").write_text(f"{line}\n{line}\n")
     assert event_json_array_scan(spark, str(tmp_path), array_per_line=True).count() == 4
 
@@ -179,7 +179,7 @@ def daily_inputs(spark, tmp_path):
     silver_path, products_path = str(tmp_path / "silver"), str(tmp_path / "products.csv")
     overwrite_by_date(two_days(spark).union(two_days(spark).limit(1)), silver_path)
     (tmp_path / "products.csv").write_text(
-        "product_id,category,price_band\nsku-100,accessories,low\n"
+        "product_id,category,price_band\nproduct-a,accessories,low\n"
     )
     return silver_path, products_path
 
@@ -242,10 +242,10 @@ def test_topic_encode_keeps_microseconds(spark):
 
 
 def test_product_columns_are_found_by_header(spark, tmp_path):
-    (tmp_path / "p.csv").write_text("category,extra,product_id,price_band\naccessories,1,sku-100,low\n")
+    (tmp_path / "p.csv").write_text("category,extra,product_id,price_band\naccessories,1,product-a,low\n")
     row = product_dim_scan(spark, str(tmp_path)).first()
-    assert (row.product_id, row.category, row.price_band) == ("sku-100", "accessories", "low")
-    (tmp_path / "p.csv").write_text("category,product_id\naccessories,sku-100\n")
+    assert (row.product_id, row.category, row.price_band) == ("product-a", "accessories", "low")
+    (tmp_path / "p.csv").write_text("category,product_id\naccessories,product-a\n")
     with pytest.raises(ValueError, match="price_band"):
         product_dim_scan(spark, str(tmp_path))
 

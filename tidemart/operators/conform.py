@@ -22,34 +22,34 @@ def contract_breaches(frame: DataFrame, contract: TableContract) -> DataFrame:
     """``(table_name, rule, breaches)`` for every promise of the contract.
 
     Rules are ``not_null:<column>``, ``fits:<column>`` (non-null values that the column's type
-    cannot hold) and ``unique:<key>`` (rows beyond the first per key).
+    cannot hold) and ``unique:<key>`` (rows beyond the first per key). The frame is read once: per key
+    its rows and breaches are counted, combined before the shuffle, and the counts are summed.
     """
-    counts: dict[str, Column] = {}
+    tests: dict[str, Column] = {}
     for name, dtype in contract.columns:
         column = F.col(name)
         if name not in contract.nullable:
-            counts[f"not_null:{name}"] = F.count_if(column.isNull())
+            tests[f"not_null:{name}"] = column.isNull()
         if isinstance(dtype, (T.DecimalType, T.IntegerType)):
-            too_big = column.isNotNull() & column.try_cast(dtype).isNull()
-            counts[f"fits:{name}"] = F.count_if(too_big)
-    rules = list(counts)
-    per_rule = frame.agg(*(counts[rule].alias(f"rule_{i}") for i, rule in enumerate(rules)))
+            tests[f"fits:{name}"] = column.isNotNull() & column.try_cast(dtype).isNull()
+    rules = list(tests)
+    by_key = frame.groupBy(*contract.key).agg(
+        F.count("*").alias("key_rows"),
+        *(F.count_if(tests[rule]).alias(f"rule_{i}") for i, rule in enumerate(rules)),
+    )
+    totals = by_key.agg(
+        F.sum(F.col("key_rows") - 1).alias("repeated"),
+        *(F.sum(f"rule_{i}").alias(f"rule_{i}") for i in range(len(rules))),
+    )
+    named = [(rule, f"rule_{i}") for i, rule in enumerate(rules)]
+    named.append(("unique:" + ",".join(contract.key), "repeated"))
     listed = F.array(
         *(
-            F.struct(F.lit(rule).alias("rule"), F.col(f"rule_{i}").alias("breaches"))
-            for i, rule in enumerate(rules)
+            F.struct(F.lit(rule).alias("rule"), F.coalesce(column, F.lit(0)).alias("breaches"))
+            for rule, column in named
         )
     )
-    by_key = frame.groupBy(*contract.key).count()
-    repeated = by_key.agg(
-        F.lit("unique:" + ",".join(contract.key)).alias("rule"),
-        F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("breaches"),
-    )
-    return (
-        per_rule.select(F.inline(listed))
-        .unionByName(repeated)
-        .select(F.lit(contract.name).alias("table_name"), "rule", "breaches")
-    )
+    return totals.select(F.inline(listed)).select(F.lit(contract.name).alias("table_name"), "rule", "breaches")
 
 
 def all_breaches(frames: list[tuple[DataFrame, TableContract]]) -> DataFrame:
