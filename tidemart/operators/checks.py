@@ -31,6 +31,9 @@ def _no_row() -> Column:
     return F.count("hit") == 0
 
 
+# The names and texts of the checks, and their order, are part of the result.
+
+
 def check_daily_kpis_not_empty(daily_kpis: DataFrame) -> DataFrame:
     return _verdict(
         daily_kpis,

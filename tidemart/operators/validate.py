@@ -191,6 +191,7 @@ def _typed_values(texts: DataFrame) -> DataFrame:
     return texts.select("*", *(column.alias(f"typed_{name}") for name, column in readings.items()))
 
 
+# The texts of the contract rules, and their order, are part of the result.
 def contract_errors() -> Column:
     """Error texts of the data contract, in rule order."""
     checks = [

@@ -300,6 +300,7 @@ def _check(name: str, passed: str, details: str) -> str:
     return f"SELECT '{name}' AS check_name, {passed} AS passed, '{details}' AS details"
 
 
+# Names and texts of the checks.
 _CHECK_KPIS = _check(
     "daily_kpis_not_empty",
     "EXISTS (SELECT 1 FROM daily_kpis)",
@@ -325,6 +326,11 @@ def _check_ids(source: str) -> str:
     )
 
 
+def check_texts(silver: str) -> list[str]:
+    """The four checks as SQL, in order; both engines read them."""
+    return [_CHECK_KPIS, _check_ids(silver), _CHECK_REVENUE, _CHECK_PRODUCTS]
+
+
 # Contracts: column -> type, in table order; columns that may be null end in '?'.
 _CONTRACTS = {
     "user_events_silver": (
@@ -496,6 +502,7 @@ ORACLES: dict[str, str] = {
     "stream_dedup": _with(
         COERCED, f'SELECT {_SILVER_ROW} FROM coerced WHERE "offset" < {REDELIVERY_OFFSET}'
     ),
+    "rebuild_silver_range": _with(COERCED, f"SELECT {_SILVER_ROW} FROM latest"),
     "rebuild_silver_from_bronze": _with(COERCED, f"SELECT {_SILVER_ROW} FROM latest"),
     "event_time_watermark": _with(
         COERCED,
@@ -534,10 +541,8 @@ ORACLES: dict[str, str] = {
     "check_no_duplicate_event_ids": _with(COERCED, _check_ids("coerced")),
     "check_non_negative_revenue": _with(MARTS, _CHECK_REVENUE),
     "check_product_metrics_not_empty": _with(MARTS, _CHECK_PRODUCTS),
-    "run_checks": _with(
-        MARTS,
-        " UNION ALL ".join([_CHECK_KPIS, _check_ids("silver"), _CHECK_REVENUE, _CHECK_PRODUCTS]),
-    ),
+    "run_checks": _with(MARTS, " UNION ALL ".join(check_texts("silver"))),
+    "run_checks_sql": _with(MARTS, " UNION ALL ".join(check_texts("silver"))),
     "mart_conform": _breaches(),
     **{f"mart_conform_{table}": _conformed(table) for table in _CONTRACTS},
     "gold_write": _with(MARTS, "SELECT * FROM session_metrics"),
@@ -550,7 +555,7 @@ ORACLES: dict[str, str] = {
             for table, (source, _, _) in _CONTRACTS.items()
         ),
     ),
-    "daily_run": _with(
+    **dict.fromkeys(("daily_run", "daily_run_range"), _with(
         f"{COERCED}, kpis AS ({_daily_kpis('latest')})",
         "SELECT event_date, CAST(daily_active_users AS INTEGER) AS daily_active_users, "
         "CAST(total_events AS INTEGER) AS total_events, "
@@ -558,5 +563,5 @@ ORACLES: dict[str, str] = {
         "CAST(total_orders AS INTEGER) AS total_orders, "
         "CAST(CAST(total_revenue AS DECIMAL(12, 2)) AS VARCHAR) AS total_revenue, "
         "CAST(purchase_users AS INTEGER) AS purchase_users FROM kpis",
-    ),
+    )),
 }

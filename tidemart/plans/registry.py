@@ -7,8 +7,10 @@ scratch folder and return what a reader finds there.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from tidemart.operators.validate import (
     validate_stream_rules,
 )
 from tidemart.plans.daily import daily_run
+from tidemart.plans.oracles import check_texts
 from tidemart.plans.rebuild import rebuild_silver_from_bronze
 from tidemart.schema import (
     CONVERSION_FUNNEL_TABLE,
@@ -40,7 +43,7 @@ from tidemart.schema import (
     TableContract,
 )
 from tidemart.session import scratch_dir, stream_session, tune
-from tidemart.sinks.lake import LakePaths, gold_write, overwrite_by_date
+from tidemart.sinks.lake import LakePaths, gold_write, overwrite_by_date, replace_range
 from tidemart.sinks.warehouse import Warehouse, warehouse_namespaces, warehouse_write
 from tidemart.sources.adapters import (
     REDELIVERY_OFFSET,
@@ -342,6 +345,19 @@ def _run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("run_checks_sql")
+def _run_checks_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks from a folder of SQL files."""
+    events_as_silver(spark, sf_dir).createOrReplaceTempView("silver")
+    _daily_kpis(spark, sf_dir).createOrReplaceTempView("daily_kpis")
+    _product_daily_metrics(spark, sf_dir).createOrReplaceTempView("product_daily_metrics")
+    # Read by the driver at once, like any folder of checks that is deployed with it.
+    with tempfile.TemporaryDirectory() as folder:
+        for number, text in enumerate(check_texts("silver")):
+            Path(folder, f"{number:02d}.sql").write_text(f"{text};\n", encoding="utf-8")
+        return checks.sql_file_checks(spark, folder)
+
+
 # Contracts and batch sinks
 
 
@@ -432,6 +448,27 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.table(f"{warehouse.analytics}.{DAILY_KPIS_TABLE.name}"))
 
 
+@query("daily_run_range")
+def _daily_run_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily run over events that were dated a day late, then one for the whole range once they are
+    right; the KPI table."""
+    lake = scratch_dir(spark, "lake")
+    warehouse = _scratch_warehouse(spark)
+    silver_path, products, gold = f"{lake}/silver", _products_csv(spark, sf_dir), f"{lake}/gold"
+    valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
+    overwrite_by_date(_a_day_late(valid), silver_path)
+    daily_run(spark, silver_path, products, gold, warehouse)
+    start, end = valid.agg(F.min("event_date"), F.date_add(F.max("event_date"), 1)).first()
+    replace_range(valid, silver_path, start, end)
+    daily_run(spark, silver_path, products, gold, warehouse, start, end)
+    return shown(spark.table(f"{warehouse.analytics}.{DAILY_KPIS_TABLE.name}"))
+
+
+def _a_day_late(silver: DataFrame) -> DataFrame:
+    later = silver.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY"))
+    return later.withColumn("event_date", F.to_date("event_time"))
+
+
 # Streams
 
 
@@ -538,3 +575,15 @@ def _rebuild_silver_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     overwrite_by_date(bronze(spark, sf_dir), paths.bronze)
     rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver)
     return shown(spark.read.parquet(paths.rebuilt_silver))
+
+
+@query("rebuild_silver_range")
+def _rebuild_silver_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver that was dated a day late, rebuilt for its whole range of days: the last one is gone."""
+    paths = LakePaths(scratch_dir(spark, "lake"))
+    overwrite_by_date(bronze(spark, sf_dir), paths.bronze)
+    valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
+    overwrite_by_date(_a_day_late(valid), paths.rebuilt_silver)
+    start, end = valid.agg(F.min("event_date"), F.date_add(F.max("event_date"), 1)).first()
+    rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver, start, end)
+    return shown(spark.read.parquet(paths.rebuilt_silver))

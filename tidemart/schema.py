@@ -84,6 +84,7 @@ def _ints(*names: str) -> tuple[tuple[str, T.DataType], ...]:
     return tuple((name, T.IntegerType()) for name in names)
 
 
+# Names, columns, types and keys of the warehouse tables.
 SILVER_TABLE = TableContract(
     name="user_events_silver",
     columns=tuple(

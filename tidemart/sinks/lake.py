@@ -56,6 +56,7 @@ def _append(frame: DataFrame, path: str, checkpoint: str, name: str, trigger: di
     )
 
 
+# Fixed values below: the names of the stream queries.
 def bronze_sink(bronze: DataFrame, paths: LakePaths, trigger: dict) -> StreamingQuery:
     return _append(
         bronze, paths.bronze, paths.checkpoint("bronze"), "write_bronze_user_events", trigger
