@@ -14,6 +14,7 @@ from tidemart.session import scratch_dir
 # White space and words as every operator here sees them (fixed values).
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +29,10 @@ def written(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     """``frame`` as a Parquet table in the shared folder: its lineage is cut there.
 
     Tasks that are lost later read the files again instead of recomputing what came before. The
-    schema is given to the reader, so an empty frame can be read too.
+    schema is given to the reader, so an empty frame can be read too. Texts go to Python workers a few
+    at a time (BATCH_ROWS, set for the session): a batch is held by Spark and by the worker.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     root = _workspace.get()
     path = f"{root}/{label}-{uuid.uuid4().hex}" if root else scratch_dir(spark, label)
     frame.write.parquet(path)

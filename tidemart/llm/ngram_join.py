@@ -45,7 +45,8 @@ from tidemart.llm.linking import Linker, bitmap, set_node
 # the bound on what is sent to every task (16 bytes each).
 FREQUENT = 32
 FREQUENT_MAX = 1 << 20
-LOSSY_CHUNK = 1 << 21
+LOSSY_CHUNK = 1 << 20
+SEEN = 1 << 18
 SUB_GROUPS = 64
 SMALL_BAND = 5
 
@@ -208,11 +209,19 @@ class NgramJoin:
         def signing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signatures = Signatures(num, den, shared.value)
             keys_known = shared.value[0]
+            # Copies sign once per task, but for those further apart than SEEN different sets.
+            seen: set[int] = set()
             for _, sets in text_sets(batches, size):
                 nodes, keys = [], []
-                for node, elements in {set_node(s): s for s in sets if len(s)}.items():
+                for elements in sets:
+                    node = set_node(elements)[0] if len(elements) else 0
+                    if not len(elements) or node in seen:
+                        continue
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
                     keys.append(signatures.chosen(elements))
-                    nodes.append(np.full(len(keys[-1]), node[0], np.int64))
+                    nodes.append(np.full(len(keys[-1]), node, np.int64))
                 if not keys:
                     continue
                 keys, nodes = np.concatenate(keys), np.concatenate(nodes)
