@@ -26,7 +26,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -62,7 +62,7 @@ LENGTH = struct.Struct("<Q")
 CHECK = struct.Struct("<I")
 HEADER = struct.Struct("<BqBI")
 BLOCK_DOCS = 512
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 
 
 def masked_crc(data: bytes) -> int:
@@ -92,20 +92,26 @@ class Encoder:
     """
 
     def __init__(self, tokenizer_path: str):
-        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.path = tokenizer_path
         self.pieces = Tokenizer.from_file(tokenizer_path)
-        kind = self.whole.pre_tokenizer
+        self.vocabulary = self.pieces.get_vocab_size()
+        kind = self.pieces.pre_tokenizer
         self.by_piece = (
             isinstance(kind, pre_tokenizers.ByteLevel)
             and not kind.add_prefix_space
             and kind.use_regex
-            and self.whole.normalizer is None
+            and self.pieces.normalizer is None
         )
         if self.by_piece:
             self.pieces.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.special = [token.content for token in self.whole.get_added_tokens_decoder().values()]
+        self.special = [token.content for token in self.pieces.get_added_tokens_decoder().values()]
         self.forget()
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer as it is in its file, made only if a text needs it."""
+        return Tokenizer.from_file(self.path)
+
     def forget(self) -> None:
         self.numbers = PieceNumbers()
         self.ids = np.zeros(1 << 16, np.uint32)
@@ -192,7 +198,7 @@ def write_records(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_path)
-        width = 2 if coder.whole.get_vocab_size() <= 1 << 16 else 4
+        width = 2 if coder.vocabulary <= 1 << 16 else 4
         tail = np.array([] if end_id is None else [end_id], np.uint32)
         file_no = TaskContext.get().partitionId()
         name = f"part-{file_no:06d}-{uuid.uuid4().hex}.records"
