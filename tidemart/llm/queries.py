@@ -14,6 +14,7 @@ from tidemart.llm.line_dedup import clean_pages
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.paragraph_dedup import ParagraphDedup
+from tidemart.llm.passage_dedup import PassageDedup
 from tidemart.llm.quality import quality
 from tidemart.llm.token_records import read_records, write_records
 from tidemart.llm.toxicity import toxicity
@@ -77,6 +78,11 @@ def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ParagraphDedup(spark, table(spark, sf_dir, "documents")).clusters().drop("text_hash")
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that repeats, inside lines or across them, and which of them stays."""
+    return PassageDedup(spark, table(spark, sf_dir, "documents")).spans().drop("text_hash")
+
+
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written as a token record and read back."""
     path = scratch_dir(spark, "token-records")
@@ -117,6 +123,7 @@ LLM_QUERIES = {
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op6_paragraph_dedup": op6_paragraph_dedup,
+    "op6_passage_dedup": op6_passage_dedup,
     "op7_token_records": op7_token_records,
     "op8_class_lm": op8_class_lm,
     "op9_toxicity": op9_toxicity,
