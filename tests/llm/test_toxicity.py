@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
 import pytest
 
 from tidemart.llm.queries import LLM_QUERIES
-from tidemart.llm.toxicity import Lexicon, fold, matches, sums, toxicity
+from tidemart.llm.toxicity import Lexicon, fold, learn_entries, learn_exceptions, matches, sums, toxicity
 
 DOCS = "doc_id bigint, text string, score string, weight string"
 LABELS = "doc_id bigint, toxic int, quality int"
@@ -85,3 +86,17 @@ def test_odd_tables(spark):
     assert {r.score for r in toxicity(spark, docs, one)[0].collect()} == {1.0}
     assert toxicity(spark, spark.createDataFrame([], DOCS), one)[0].count() == 0
     assert {r.words for r in sums(docs, Lexicon()).collect()} == {0, 1, 100_000}
+
+
+def test_all_significant_entries_and_exceptions_are_learnt(spark):
+    stems = ["".join(x) for x in itertools.product("abcdefgh", repeat=3)]
+    toxic, plain = (" ".join(f"{first}{s}stemmeds" for s in stems) for first in "pq")
+    texts = spark.createDataFrame([(toxic, True)] * 8 + [(plain, False)] * 8, "text string, toxic boolean").repartition(2)
+    weights = learn_entries(texts)
+    # Whole words, their starts of 4 to 12 letters, and those of 3 letters, which 8 words share.
+    assert len(weights) == 512 * 10 + 64
+    phrases = " ".join(f"{w} rotter" for w in plain.split()) + " end"
+    again = " ".join(f"z{w} rotter" for w in plain.split()) + " end"
+    texts = spark.createDataFrame([(phrases, False), (again, False)] * 3, "text string, toxic boolean").repartition(2)
+    # A phrase before and one behind each entry; both texts end alike.
+    assert len(learn_exceptions(texts, {" rotter": 2.0})) == 2 * (2 * 512) - 1

@@ -40,8 +40,6 @@ from tidemart.llm.common import written
 
 LEARN_ROWS = 20_000
 SHORTEST, LONGEST = 3, 12
-LEXICON_MAX = 4_000
-EXCEPTIONS_MAX = 1_000
 
 # Letters of other scripts that look like Latin ones (after accents are gone).
 LOOK_ALIKES = str.maketrans(
@@ -172,8 +170,7 @@ def learn_entries(texts: DataFrame) -> dict[str, float]:
     kept = entries.withColumn("weight", weight).withColumn("strength", strength).where(
         "bad >= 5 and weight >= 1.5 and strength >= 6"
     )
-    kept = kept.orderBy(F.desc("strength"), "entry").limit(LEXICON_MAX).collect()
-    return {row.entry: row.weight for row in kept}
+    return {row.entry: row.weight for row in kept.orderBy(F.desc("strength"), "entry").collect()}
 
 
 def learn_exceptions(texts: DataFrame, weights: dict[str, float], learn: bool = True) -> tuple[str, ...]:
@@ -203,7 +200,7 @@ def learn_exceptions(texts: DataFrame, weights: dict[str, float], learn: bool =
     counted = texts.mapInArrow(phrases, "phrase string, toxic long").groupBy("phrase").agg(
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
     )
-    kept = counted.where("bad = 0 and good >= 3").orderBy(F.desc("good"), "phrase").limit(EXCEPTIONS_MAX)
+    kept = counted.where("bad = 0 and good >= 3").orderBy(F.desc("good"), "phrase")
     return tuple(row.phrase for row in kept.collect())
 
 
