@@ -10,6 +10,7 @@ from tidemart.llm.class_lm import score_documents
 from tidemart.llm.common import fold, table
 from tidemart.llm.decontamination import overlaps
 from tidemart.llm.exact_dedup import DigestIndex
+from tidemart.llm.lexical_search import lexical_search
 from tidemart.llm.line_dedup import clean_pages
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
@@ -116,6 +117,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(spark, table(spark, sf_dir, "documents"), size=5, num=80, den=100)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return lexical_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -128,6 +134,7 @@ LLM_QUERIES = {
     "op8_class_lm": op8_class_lm,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 LLM_ORACLES = {
@@ -212,4 +219,39 @@ LLM_ORACLES = {
         FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id
         GROUP BY reach.doc_id
     """,
+    "op13_lexical_search": r"""
+        WITH doc_terms AS (
+            SELECT row_number() OVER () AS doc, doc_id,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        item_terms AS (
+            SELECT row_number() OVER () AS item, item_id,
+                   unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        asked AS (SELECT item, item_id, term, count(*) AS times FROM item_terms GROUP BY ALL),
+        whole AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS total FROM doc_terms WHERE len(terms) > 0),
+        found AS (
+            SELECT doc, doc_id, n, term, count(*) AS tf
+            FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM doc_terms)
+            GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM found GROUP BY term), whole),
+        scores AS (
+            SELECT item, item_id, doc_id, doc,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT
+                       AS score
+            FROM asked JOIN weights USING (term) JOIN found USING (term), whole
+            GROUP BY ALL)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+            FROM scores WHERE score > 0)
+        WHERE rank <= 20
+    """,
 }
