@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.class_lm import score_documents
+from tidemart.llm.collocations import collocations
 from tidemart.llm.common import fold, table
 from tidemart.llm.decontamination import overlaps
 from tidemart.llm.exact_dedup import DigestIndex
 from tidemart.llm.lexical_search import lexical_search
 from tidemart.llm.line_dedup import clean_pages
+from tidemart.llm.main_text import main_texts
 from tidemart.llm.mixing import Mix
 from tidemart.llm.ngram_join import ngram_components
 from tidemart.llm.paragraph_dedup import ParagraphDedup
@@ -117,6 +119,16 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(spark, table(spark, sf_dir, "documents"), size=5, num=80, den=100)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases."""
+    return collocations(spark, table(spark, sf_dir, "documents"), min_count=100, keep_ratio=100, best=2000)
+
+
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text, by weights learnt from all pages that name their article."""
+    return main_texts(spark, table(spark, sf_dir, "pages"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents for each benchmark item."""
     return lexical_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -134,6 +146,8 @@ LLM_QUERIES = {
     "op8_class_lm": op8_class_lm,
     "op9_toxicity": op9_toxicity,
     "op10_ngram_join": op10_ngram_join,
+    "op11_collocations": op11_collocations,
+    "op12_main_text": op12_main_text,
     "op13_lexical_search": op13_lexical_search,
 }
 
@@ -219,6 +233,46 @@ LLM_ORACLES = {
         FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id
         GROUP BY reach.doc_id
     """,
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+        grams AS (
+            SELECT lang, size,
+                   unnest(list_transform(range(1, len(w) - size + 2), lambda k: array_to_string(w[k:k + size - 1], ' ')))
+                       AS phrase
+            FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS size)),
+        counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        cuts AS (
+            SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+            FROM counts WHERE size > 1),
+        scored AS (
+            SELECT cuts.lang, cuts.phrase, a, h.f AS l, t.f AS r, n, k,
+                   ((1000 * a::HUGEINT * n) // (h.f::HUGEINT * t.f))::BIGINT AS score
+            FROM cuts
+                 JOIN counts h ON h.lang = cuts.lang AND h.phrase = array_to_string(w[:k], ' ')
+                 JOIN counts t ON t.lang = cuts.lang AND t.phrase = array_to_string(w[k + 1:], ' ')
+                 JOIN totals ON totals.lang = cuts.lang),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        parts AS (
+            SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + m - 1], ' ') AS phrase
+            FROM counts, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS i)
+            WHERE m < size AND i + m - 1 <= size),
+        longer AS (SELECT lang, phrase, max(f) AS f FROM parts GROUP BY lang, phrase),
+        kept AS (
+            SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase)
+            WHERE longer.f IS NULL OR 100 * longer.f < 100 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept
+        QUALIFY rank <= 2000
+    """,
     "op13_lexical_search": r"""
         WITH doc_terms AS (
             SELECT row_number() OVER () AS doc, doc_id,
