@@ -13,6 +13,7 @@ from tidemart.operators.dedup import event_time_watermark, stream_dedup
 from tidemart.plans.rebuild import rebuild_silver_from_bronze
 from tidemart.session import stream_session
 from tidemart.sinks.lake import LakePaths
+from tidemart.sinks.releases import dataset
 from tidemart.sources.topic import landed_topic_source, topic_options, topic_source
 from tidemart.streaming.lakehouse import (
     AVAILABLE_NOW,
@@ -56,7 +57,7 @@ class Delivery:
         return queries
 
     def ids(self, path):
-        return sorted(row.event_id for row in self.spark.read.parquet(path).collect())
+        return sorted(row.event_id for row in dataset(self.spark, path).collect())
 
 
 @pytest.fixture

@@ -25,7 +25,8 @@ from tidemart.schema import (
     SILVER_TABLE,
 )
 from tidemart.session import scratch_dir
-from tidemart.sinks.lake import gold_write, overwrite_by_date, replace_range
+from tidemart.sinks.lake import gold_write, overwrite_by_date
+from tidemart.sinks.releases import dataset, published
 from tidemart.sinks.warehouse import Warehouse, jdbc_options, warehouse_namespaces, warehouse_write
 from tidemart.sources.adapters import events_as_silver
 from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
@@ -78,13 +79,13 @@ def test_silver_scan_prunes_partitions_and_recomputes_the_date(spark, tmp_path):
 def test_gold_round_trip_and_partial_overwrite(spark, tmp_path):
     mart = marts.session_metrics(two_days(spark))
     path = gold_write(mart, str(tmp_path), "session_metrics")
-    back = spark.read.parquet(path)
+    back = dataset(spark, path)
     assert sorted(back.select(*mart.columns).collect()) == sorted(mart.collect())
     one_day = mart.filter(F.col("event_date") == date(2025, 1, 1)).withColumn(
         "total_revenue", F.lit(99.0)
     )
     gold_write(one_day, str(tmp_path), "session_metrics", only_dates=True)
-    revenue = {row.event_date.day: row.total_revenue for row in spark.read.parquet(path).collect()}
+    revenue = {row.event_date.day: row.total_revenue for row in dataset(spark, path).collect()}
     assert revenue == {1: 99.0, 2: 0.0}
 
 
@@ -177,7 +178,7 @@ def test_jdbc_options_keep_the_table(spark):
 
 def daily_inputs(spark, tmp_path):
     silver_path, products_path = str(tmp_path / "silver"), str(tmp_path / "products.csv")
-    overwrite_by_date(two_days(spark).union(two_days(spark).limit(1)), silver_path)
+    published(two_days(spark).union(two_days(spark).limit(1)), silver_path)
     (tmp_path / "products.csv").write_text(
         "product_id,category,price_band\nproduct-a,accessories,low\n"
     )
@@ -194,17 +195,16 @@ def test_daily_run_writes_and_checks_everything(spark, tmp_path):
     assert [float(row.total_revenue) for row in kpis] == [10.0, 0.0]
     for contract in MART_TABLES:
         table = spark.table(f"analytics_t1.{contract.name}")
-        assert table.count() == spark.read.parquet(f"{tmp_path}/gold/{contract.name}").count() > 0
+        assert table.count() == dataset(spark, f"{tmp_path}/gold/{contract.name}").count() > 0
         assert {f.name: f.dataType for f in table.schema} == dict(contract.columns)
 
     # A second run for one day leaves the other day alone.
     day = date(2025, 1, 2)
-    overwrite_by_date(
+    published(
         silver(spark, event(event_id="e9", event_time="2025-01-02T08:00:00+00:00"),
                event(event_id="e8", event_time="2025-01-02T08:30:00+00:00")),
         silver_path, only_dates=True,
     )
-    spark.catalog.refreshByPath(silver_path)
     daily_run(
         spark, silver_path, products_path, str(tmp_path / "gold"), target, start=day, end=day
     )
@@ -219,7 +219,7 @@ def test_daily_run_without_a_warehouse(spark, tmp_path):
         spark, silver_path, products_path, str(tmp_path / "gold"), load_warehouse=False
     )
     assert verdicts.count() == 4
-    assert spark.read.parquet(f"{tmp_path}/gold/daily_kpis").count() == 2
+    assert dataset(spark, f"{tmp_path}/gold/daily_kpis").count() == 2
 
 
 def test_namespaces_are_created_once(spark, tmp_path):
@@ -274,7 +274,7 @@ def test_daily_run_reports_an_empty_window(spark, tmp_path):
 def test_daily_run_refuses_broken_keys_before_publishing(spark, tmp_path):
     silver_path, products_path = daily_inputs(spark, tmp_path)
     twice = silver(spark, event(event_id="a", user_id="u1"), event(event_id="b", user_id="u2"))
-    overwrite_by_date(twice, silver_path)
+    published(twice, silver_path)
     target = Warehouse("staging_k", "analytics_k", str(tmp_path / "wh"))
     gold = tmp_path / "gold"
     with pytest.raises(ValueError, match="session_metrics unique:"):
@@ -294,12 +294,12 @@ def test_a_range_is_replaced_with_all_its_days(spark, tmp_path):
     before = {str(r.event_date) for r in spark.table("analytics_r.daily_kpis").collect()}
     assert before == {"2025-01-01", "2025-01-02"}
     moved = silver(spark, event(event_id="e3", event_time="2025-01-01T09:00:00+00:00"), event(event_id="e1"))
-    replace_range(moved, silver_path, date(2025, 1, 1), date(2025, 1, 2))
-    assert {str(r.event_date) for r in spark.read.parquet(silver_path).collect()} == {"2025-01-01"}
+    published(moved, silver_path, start=date(2025, 1, 1), end=date(2025, 1, 2))
+    assert {str(r.event_date) for r in dataset(spark, silver_path).collect()} == {"2025-01-01"}
     for _ in range(2):
         daily_run(spark, silver_path, products_path, gold, target, start=date(2025, 1, 1), end=date(2025, 1, 2))
         for frame in (
-            spark.table("analytics_r.daily_kpis"), spark.table("staging_r.user_events_silver"), spark.read.parquet(f"{gold}/daily_kpis"),
+            spark.table("analytics_r.daily_kpis"), spark.table("staging_r.user_events_silver"), dataset(spark, f"{gold}/daily_kpis"),
         ):
             assert {str(r.event_date) for r in frame.collect()} == {"2025-01-01"}
         assert spark.table("staging_r.user_events_silver").count() == 2

@@ -116,7 +116,7 @@ def _malformed() -> Column:
     """
     text = F.coalesce(F.col("raw_payload"), F.lit(""))
     nothing = text.rlike(BLANK)
-    more = F.instr(text, "}") != F.length(F.regexp_replace(text, r"[ \t\r\n]+\z", ""))
+    more = F.instr(text, "}") != F.length(F.rtrim(text, F.lit(" \t\r\n")))
     return F.col(_CORRUPT).isNotNull() | nothing | F.when(more, ~_is_one_value(text)).otherwise(F.lit(False))
 
 

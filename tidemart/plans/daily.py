@@ -10,13 +10,14 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import amount_or_zero, as_money, is_purchase, purchase_amount
 from tidemart.operators.checks import enforce, run_checks
-from tidemart.operators.conform import all_breaches
+from tidemart.operators.conform import ContractWatch
 from tidemart.operators.dedup import dedup_latest
 from tidemart.operators.marts import (
     distinct_per_day,
@@ -34,12 +35,18 @@ from tidemart.schema import (
     PRODUCT_METRICS_TABLE,
     SESSION_METRICS_TABLE,
     SILVER_TABLE,
-    TableContract,
 )
-from tidemart.session import scratch_dir
-from tidemart.sinks.lake import gold_write
-from tidemart.sinks.warehouse import Warehouse, jdbc_options, jdbc_write
-from tidemart.sinks.warehouse import warehouse_namespaces, warehouse_write
+from tidemart.session import scratch_dir, together
+from tidemart.sinks.releases import Releases
+from tidemart.sinks.warehouse import (
+    Warehouse,
+    jdbc_options,
+    jdbc_write,
+    namespace_release,
+    publish_tables,
+    stage_table,
+    warehouse_namespaces,
+)
 from tidemart.sources.lake import product_dim_scan, silver_scan
 
 log = logging.getLogger(__name__)
@@ -128,7 +135,8 @@ def daily_run(
 
     Repeated ids are resolved before anything is counted. Without dates the whole of Gold and the
     warehouse is rebuilt, otherwise the given days are replaced. ``load_warehouse`` off leaves the
-    marts in Gold alone; the checks then run on Gold.
+    marts in Gold alone; the checks then run on Gold. Gold's marts change together in one step, and so do those
+    of a warehouse namespace: a run that fails before leaves all of them as they were.
 
     Silver and the marts are held against the table contracts before anything is published: a breach
     raises, unless its rule (such as ``unique:event_date,session_id``) is in ``accepted_breaches``. Work
@@ -158,6 +166,8 @@ def _daily_run(
     accepted_breaches: tuple[str, ...],
     work: str,
 ) -> DataFrame:
+    gold = Releases(spark, gold_root)
+    gold_before = gold.release()
     products = product_dim_scan(spark, products_path)
     latest = dedup_latest(silver_scan(spark, silver_path, start, end))
 
@@ -167,8 +177,10 @@ def _daily_run(
         return spark.read.schema(frame.schema).parquet(f"{work}/{name}")
 
     # Silver is deduplicated and written once, with amounts as they came, and everything after
-    # reads the columns it needs from there; the warehouse table rounds amounts to cents.
-    silver = kept(latest, "silver")
+    # reads the columns it needs from there; the warehouse table rounds amounts to cents. Its rows and
+    # those of the marts are held against their contracts while they are written.
+    watches = {SILVER_TABLE.name: ContractWatch(latest, SILVER_TABLE)}
+    silver = kept(watches[SILVER_TABLE.name].watched, "silver")
     rollup = kept(session_rollup(silver), "session_rollup")
     marts = {
         DAILY_KPIS_TABLE.name: daily_kpis_from_rollup(rollup, silver),
@@ -176,21 +188,32 @@ def _daily_run(
         SESSION_METRICS_TABLE.name: session_metrics_from_rollup(rollup),
         PRODUCT_METRICS_TABLE.name: product_daily_metrics(silver, products),
     }
-    marts = {name: kept(mart, f"mart-{name}") for name, mart in marts.items()}
-    refuse_breaches([(silver, SILVER_TABLE), *((marts[c.name], c) for c in MART_TABLES)], accepted_breaches)
-
-    checked = {}
-    for name, mart in marts.items():
-        path = gold_write(mart, gold_root, name, start=start, end=end)
-        # A dataset without rows has no files to take a schema from.
-        checked[name] = spark.read.schema(mart.schema).parquet(path)
-    staged = silver
+    watches |= {contract.name: ContractWatch(marts[contract.name], contract) for contract in MART_TABLES}
+    written = together([partial(kept, watches[name].watched, f"mart-{name}") for name in marts])
+    marts = dict(zip(marts, written))
+    frames = {SILVER_TABLE.name: silver, **marts}
+    repeated = together([partial(watch.repeated, frames[name]) for name, watch in watches.items()])
+    breaches = [row for watch, more in zip(watches.values(), repeated) for row in watch.breaches(more)]
+    refuse_breaches(breaches, accepted_breaches)
+
+    # All files are written first; then one step makes the marts of Gold count, and one those of a namespace.
+    jobs = [partial(gold.stage, mart, name, start=start, end=end) for name, mart in marts.items()]
     if load_warehouse:
         warehouse_namespaces(spark, warehouse)
-        staged = spark.table(warehouse_write(silver, warehouse.staging, SILVER_TABLE, start=start, end=end))
-        for contract in MART_TABLES:
-            table = warehouse_write(marts[contract.name], warehouse.analytics, contract, start=start, end=end)
-            checked[contract.name] = spark.table(table)
+        before = {space: namespace_release(spark, space) for space in (warehouse.staging, warehouse.analytics)}
+        jobs.append(partial(stage_table, silver, warehouse.staging, SILVER_TABLE, start=start, end=end))
+        jobs += [partial(stage_table, marts[c.name], warehouse.analytics, c, start=start, end=end) for c in MART_TABLES]
+    files = together(jobs)
+    gold_now = gold.publish(files[: len(marts)], gold_before)
+    checked = {name: gold.read(name, release=gold_now) for name in marts}
+    staged = silver
+    if load_warehouse:
+        tables = files[len(marts) :]
+        (name,) = publish_tables(spark, warehouse.staging, [(tables[0], SILVER_TABLE)], before[warehouse.staging])
+        staged = spark.table(name)
+        loaded = list(zip(tables[1:], MART_TABLES))
+        names = publish_tables(spark, warehouse.analytics, loaded, before[warehouse.analytics])
+        checked = {contract.name: spark.table(name) for contract, name in zip(MART_TABLES, names)}
     if jdbc:
         copy_to_database(staged, checked, warehouse, jdbc)
     verdicts = run_checks(
@@ -201,12 +224,12 @@ def _daily_run(
     return spark.createDataFrame(verdicts.collect(), verdicts.schema)
 
 
-def refuse_breaches(frames: list[tuple[DataFrame, TableContract]], accepted: tuple[str, ...] = ()) -> None:
-    """Raise if a frame breaks its table's contract by a rule that is not accepted; log all breaches."""
-    found = all_breaches(frames).where("breaches > 0").collect()
-    for row in found:
-        log.warning("%s: %s, %d rows", row.table_name, row.rule, row.breaches)
-    refused = [f"{row.table_name} {row.rule} ({row.breaches})" for row in found if row.rule not in accepted]
+def refuse_breaches(found: list[tuple[str, str, int]], accepted: tuple[str, ...] = ()) -> None:
+    """Raise if a table's contract is broken by a rule that is not accepted; log all breaches."""
+    found = [breach for breach in found if breach[2]]
+    for breach in found:
+        log.warning("%s: %s, %d rows", *breach)
+    refused = [f"{table} {rule} ({count})" for table, rule, count in found if rule not in accepted]
     if refused:
         raise ValueError("contract breaches: " + "; ".join(refused))
 

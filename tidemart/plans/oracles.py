@@ -257,41 +257,53 @@ def _rate(base: str) -> str:
     )
 
 
-_FUNNEL = f"""
+def _funnel(source: str) -> str:
+    return f"""
     SELECT *, {_rate("product_view_users")} AS product_view_to_purchase_rate,
            {_rate("add_to_cart_users")} AS add_to_cart_to_purchase_rate,
            {_rate("checkout_start_users")} AS checkout_to_purchase_rate
     FROM (SELECT event_date, {", ".join(
         f"count(DISTINCT CASE WHEN event_type = '{s}' THEN user_id END) AS {s}_users"
         for s in STAGES)}
-          FROM silver GROUP BY event_date)"""
+          FROM {source} GROUP BY event_date)"""
+
 
-_SESSIONS = f"""
+def _sessions(source: str) -> str:
+    return f"""
     SELECT event_date, session_id, user_id, min(event_time) AS session_start_time,
            max(event_time) AS session_end_time, count(*) AS event_count,
            count(*) FILTER (event_type = 'purchase') AS purchase_count,
            {_money(_ANY_AMOUNT)} AS total_revenue,
            CAST(floor(epoch(max(event_time))) - floor(epoch(min(event_time))) AS BIGINT)
                AS session_duration_seconds
-    FROM silver GROUP BY event_date, session_id, user_id"""
+    FROM {source} GROUP BY event_date, session_id, user_id"""
+
 
-_PRODUCT_DAYS = f"""
+def _product_days(source: str) -> str:
+    return f"""
     SELECT event_date, product_id, category, price_band,
            count(*) FILTER (event_type = 'product_view') AS views,
            count(*) FILTER (event_type = 'add_to_cart') AS add_to_carts,
            count(*) FILTER (event_type = 'purchase') AS purchases,
            {_money(_ANY_AMOUNT)} AS revenue
-    FROM silver LEFT JOIN products USING (product_id)
+    FROM {source} LEFT JOIN products USING (product_id)
     GROUP BY event_date, product_id, category, price_band"""
 
-MARTS = f"""{SILVER}, {PRODUCTS},
-daily_kpis AS ({_daily_kpis("silver")}),
-conversion_funnel AS ({_FUNNEL}),
-session_metrics AS ({_SESSIONS}),
-product_daily_metrics AS ({_PRODUCT_DAYS})
+
+def _marts(source: str) -> str:
+    return f"""
+daily_kpis AS ({_daily_kpis(source)}),
+conversion_funnel AS ({_funnel(source)}),
+session_metrics AS ({_sessions(source)}),
+product_daily_metrics AS ({_product_days(source)})
 """
 
 
+MARTS = f"{SILVER}, {PRODUCTS}, {_marts('silver')}"
+# The marts of the feed's valid events, the latest row of each.
+FEED_MARTS = f"{COERCED}, {PRODUCTS}, {_marts('latest')}"
+
+
 def _with(ctes: str, select: str) -> str:
     return f"WITH {ctes} {select}"
 
@@ -380,8 +392,9 @@ _CONTRACTS = {
 }
 
 
-def _conformed(table: str) -> str:
+def _conformed(table: str, ctes: str = MARTS, silver: str = "silver") -> str:
     source, columns, _ = _CONTRACTS[table]
+    source = silver if source == "silver" else source
     shown = []
     for label, dtype in columns.items():
         name = label.rstrip("?")
@@ -389,7 +402,7 @@ def _conformed(table: str) -> str:
         if dtype.startswith("DECIMAL"):
             value = f"CAST({value} AS VARCHAR)"
         shown.append(f"{value} AS {name}")
-    return _with(MARTS, f"SELECT {', '.join(shown)} FROM {source}")
+    return _with(ctes, f"SELECT {', '.join(shown)} FROM {source}")
 
 
 def _breaches() -> str:
@@ -419,6 +432,12 @@ def _breaches() -> str:
 
 _SILVER_ROW = f"{_FIELD_LIST}, event_date"
 _LATE = "minute(kafka_timestamp) BETWEEN 30 AND 35"
+_ARRIVALS = f"""{COERCED},
+arrivals AS (SELECT c.event_id, c.event_time, {_LATE} AS is_late
+             FROM coerced c JOIN bronze b USING ("partition", "offset")),
+mark AS (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 15 MINUTE AS reached
+         FROM arrivals WHERE NOT is_late)
+"""
 
 ORACLES: dict[str, str] = {
     "topic_source": _with(
@@ -510,14 +529,30 @@ ORACLES: dict[str, str] = {
         "count(*) AS silver_rows FROM latest",
     ),
     "late_data": _with(
-        f"""{COERCED},
-        arrivals AS (SELECT c.event_id, c.event_time, {_LATE} AS is_late
-                     FROM coerced c JOIN bronze b USING ("partition", "offset")),
-        mark AS (SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 15 MINUTE AS reached
-                 FROM arrivals WHERE NOT is_late)""",
+        _ARRIVALS,
         f"SELECT {_SILVER_ROW} FROM latest WHERE event_time <= (SELECT reached FROM mark) "
         "AND event_id NOT IN (SELECT event_id FROM arrivals WHERE NOT is_late)",
     ),
+    "stream_known_ids": _with(
+        COERCED,
+        f"""SELECT {_SILVER_ROW} FROM coerced WHERE "offset" < {REDELIVERY_OFFSET}
+        UNION ALL SELECT {_SILVER_ROW} FROM latest
+        WHERE event_id NOT IN (SELECT event_id FROM coerced WHERE "offset" < {REDELIVERY_OFFSET})""",
+    ),
+    "lakehouse_counts": _with(
+        f"""{_ARRIVALS},
+        fresh AS (SELECT * FROM latest
+                  WHERE event_id NOT IN (SELECT event_id FROM arrivals WHERE NOT is_late)),
+        behind AS (SELECT count(*) AS n FROM fresh WHERE event_time <= (SELECT reached FROM mark)),
+        counts AS (SELECT (SELECT count(*) FROM bronze) AS records,
+                          (SELECT count(*) FROM judged WHERE validation_errors <> '') AS quarantine,
+                          (SELECT n FROM behind) AS late, (SELECT count(*) FROM latest) AS ids)""",
+        "SELECT 'records' AS counter, records AS row_count FROM counts UNION ALL "
+        "SELECT 'quarantine', quarantine FROM counts UNION ALL SELECT 'late', late FROM counts UNION ALL "
+        "SELECT 'silver', ids - late FROM counts UNION ALL "
+        "SELECT 'repeated', records - quarantine - ids FROM counts",
+    ),
+    "rebuild_silver_changes": _with(COERCED, f"SELECT {_SILVER_ROW} FROM latest"),
     "lakehouse_stream": _with(
         COERCED,
         "SELECT 'bronze' AS layer, event_date, count(*) AS row_count FROM bronze GROUP BY ALL "
@@ -555,6 +590,7 @@ ORACLES: dict[str, str] = {
             for table, (source, _, _) in _CONTRACTS.items()
         ),
     ),
+    **{f"daily_run_{table}": _conformed(table, FEED_MARTS, "latest") for table in _CONTRACTS},
     **dict.fromkeys(("daily_run", "daily_run_range"), _with(
         f"{COERCED}, kpis AS ({_daily_kpis('latest')})",
         "SELECT event_date, CAST(daily_active_users AS INTEGER) AS daily_active_users, "

@@ -32,7 +32,7 @@ from tidemart.operators.validate import (
 )
 from tidemart.plans.daily import daily_run
 from tidemart.plans.oracles import check_texts
-from tidemart.plans.rebuild import rebuild_silver_from_bronze
+from tidemart.plans.rebuild import rebuild_silver_changes, rebuild_silver_from_bronze
 from tidemart.schema import (
     CONVERSION_FUNNEL_TABLE,
     DAILY_KPIS_TABLE,
@@ -43,7 +43,8 @@ from tidemart.schema import (
     TableContract,
 )
 from tidemart.session import scratch_dir, stream_session, tune
-from tidemart.sinks.lake import LakePaths, gold_write, overwrite_by_date, replace_range
+from tidemart.sinks.lake import STREAM_BATCH, LakePaths, gold_write, overwrite_by_date, write_batch
+from tidemart.sinks.releases import dataset, published
 from tidemart.sinks.warehouse import Warehouse, warehouse_namespaces, warehouse_write
 from tidemart.sources.adapters import (
     REDELIVERY_OFFSET,
@@ -53,12 +54,9 @@ from tidemart.sources.adapters import (
 )
 from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
 from tidemart.sources.topic import landed_topic_source
-from tidemart.streaming.lakehouse import (
-    AVAILABLE_NOW,
-    await_queries,
-    start_from_bronze,
-    start_lakehouse,
-)
+from tidemart.streaming.id_index import IdIndex
+from tidemart.streaming.lakehouse import AVAILABLE_NOW, await_queries, start_lakehouse
+from tidemart.streaming.one_query import late_rows, start_lakehouse_once, stream_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,7 +126,7 @@ def _topic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("silver_scan")
 def _silver_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "silver")
-    overwrite_by_date(events_as_silver(spark, sf_dir), path)
+    published(events_as_silver(spark, sf_dir), path)
     return shown(silver_scan(spark, path))
 
 
@@ -391,7 +389,7 @@ for _build, _table in _CONTRACT_FRAMES:
 def _gold_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "gold")
     path = gold_write(_session_mart(spark, sf_dir), root, SESSION_METRICS_TABLE.name)
-    return shown(spark.read.parquet(path))
+    return shown(dataset(spark, path))
 
 
 def _scratch_warehouse(spark: SparkSession) -> Warehouse:
@@ -443,27 +441,45 @@ def _daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse = _scratch_warehouse(spark)
     silver_path = f"{lake}/silver"
     valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
-    overwrite_by_date(valid, silver_path)
+    published(valid, silver_path)
     daily_run(spark, silver_path, _products_csv(spark, sf_dir), f"{lake}/gold", warehouse)
     return shown(spark.table(f"{warehouse.analytics}.{DAILY_KPIS_TABLE.name}"))
 
 
-@query("daily_run_range")
-def _daily_run_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A daily run over events that were dated a day late, then one for the whole range once they are
-    right; the KPI table."""
+def _ranged_run(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A daily run over events that were dated a day late, then one for the whole range once they are right."""
     lake = scratch_dir(spark, "lake")
     warehouse = _scratch_warehouse(spark)
     silver_path, products, gold = f"{lake}/silver", _products_csv(spark, sf_dir), f"{lake}/gold"
     valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
-    overwrite_by_date(_a_day_late(valid), silver_path)
+    published(_a_day_late(valid), silver_path)
     daily_run(spark, silver_path, products, gold, warehouse)
     start, end = valid.agg(F.min("event_date"), F.date_add(F.max("event_date"), 1)).first()
-    replace_range(valid, silver_path, start, end)
+    published(valid, silver_path, start=start, end=end)
     daily_run(spark, silver_path, products, gold, warehouse, start, end)
+    return warehouse
+
+
+@query("daily_run_range")
+def _daily_run_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI table after a ranged run."""
+    warehouse = _ranged_run(spark, sf_dir)
     return shown(spark.table(f"{warehouse.analytics}.{DAILY_KPIS_TABLE.name}"))
 
 
+def _ranged_table(table: TableContract) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = _ranged_run(spark, sf_dir)
+        namespace = warehouse.staging if table is SILVER_TABLE else warehouse.analytics
+        return shown(spark.table(f"{namespace}.{table.name}"))
+
+    return run
+
+
+for _, _table in _CONTRACT_FRAMES:
+    query(f"daily_run_{_table.name}")(_ranged_table(_table))
+
+
 def _a_day_late(silver: DataFrame) -> DataFrame:
     later = silver.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY"))
     return later.withColumn("event_date", F.to_date("event_time"))
@@ -499,9 +515,8 @@ def _quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lakehouse_stream")
 def _lakehouse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per layer and date, with the topic read once: Silver and Quarantine follow Bronze."""
-    paths = _stream_layers(spark, sf_dir, "bronze")
-    await_queries(start_from_bronze(stream_session(spark, STATE_PARTITIONS), paths, AVAILABLE_NOW))
+    """Rows per layer and date, from the one query that reads the topic and judges its records once."""
+    paths, _ = _one_query(spark, raw_topic_feed(spark, sf_dir))
     layers = {
         "bronze": paths.bronze,
         "silver": paths.stream_silver,
@@ -518,6 +533,39 @@ def _lakehouse_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _one_query(spark: SparkSession, *deliveries: DataFrame) -> tuple[LakePaths, SparkSession]:
+    """The one-query form over a topic, restarted from its checkpoint for each delivery."""
+    paths = LakePaths(scratch_dir(spark, "lake"))
+    topic = scratch_dir(spark, "topic")
+    session = stream_session(spark, STATE_PARTITIONS)
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(topic)
+        records = landed_topic_source(session, topic)
+        await_queries([start_lakehouse_once(records, paths, AVAILABLE_NOW, buckets=STATE_PARTITIONS)])
+    IdIndex(session, paths.known_ids, STATE_PARTITIONS).forget()
+    return paths, session
+
+
+@query("stream_known_ids")
+def _stream_known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and late rows of a stream that forgets no id: all originals, then all redeliveries, then all again."""
+    feed = raw_topic_feed(spark, sf_dir)
+    again = F.col("offset") >= REDELIVERY_OFFSET
+    paths, _ = _one_query(spark, feed.filter(~again), feed.filter(again), feed)
+    both = spark.read.parquet(paths.stream_silver).drop(STREAM_BATCH).unionByName(late_rows(spark, paths))
+    return shown(both)
+
+
+@query("lakehouse_counts")
+def _lakehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the one-query form keeps beside its checkpoint, over a restart; late rows come last."""
+    feed = raw_topic_feed(spark, sf_dir)
+    late = F.minute("timestamp").between(30, 35)
+    paths, session = _one_query(spark, feed.filter(~late), feed.filter(late))
+    counts = stream_counts(session, paths)
+    return spark.createDataFrame(sorted(counts.items()), "counter string, row_count bigint")
+
+
 def _two_deliveries(
     spark: SparkSession, first: DataFrame, second: DataFrame, *layers: str
 ) -> tuple[LakePaths, list[StreamingQuery]]:
@@ -558,15 +606,12 @@ def _event_time_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("late_data")
 def _late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that arrive after the watermark has passed them: lost to the stream, and back
-    after a rebuild from Bronze. Records stamped from minute 30 to 35 of any hour arrive last."""
+    """Events that arrive after the watermark has passed them: the stream's own side output. Records
+    stamped from minute 30 to 35 of any hour arrive last."""
     feed = raw_topic_feed(spark, sf_dir)
     late = F.minute("timestamp").between(30, 35)
-    paths, _ = _two_deliveries(spark, feed.filter(~late), feed.filter(late), "bronze", "silver")
-    rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver)
-    streamed = spark.read.parquet(paths.stream_silver).select("event_id")
-    rebuilt = spark.read.parquet(paths.rebuilt_silver)
-    return shown(rebuilt.join(streamed, "event_id", "left_anti"))
+    paths, _ = _one_query(spark, feed.filter(~late), feed.filter(late))
+    return shown(late_rows(spark, paths))
 
 
 @query("rebuild_silver_from_bronze")
@@ -574,7 +619,7 @@ def _rebuild_silver_from_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths(scratch_dir(spark, "lake"))
     overwrite_by_date(bronze(spark, sf_dir), paths.bronze)
     rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver)
-    return shown(spark.read.parquet(paths.rebuilt_silver))
+    return shown(dataset(spark, paths.rebuilt_silver))
 
 
 @query("rebuild_silver_range")
@@ -583,7 +628,19 @@ def _rebuild_silver_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = LakePaths(scratch_dir(spark, "lake"))
     overwrite_by_date(bronze(spark, sf_dir), paths.bronze)
     valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
-    overwrite_by_date(_a_day_late(valid), paths.rebuilt_silver)
+    published(_a_day_late(valid), paths.rebuilt_silver)
     start, end = valid.agg(F.min("event_date"), F.date_add(F.max("event_date"), 1)).first()
     rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver, start, end)
-    return shown(spark.read.parquet(paths.rebuilt_silver))
+    return shown(dataset(spark, paths.rebuilt_silver))
+
+
+@query("rebuild_silver_changes")
+def _rebuild_silver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rebuilt before the last records came, then brought up to date: what a whole rebuild gives."""
+    paths = LakePaths(scratch_dir(spark, "lake"))
+    feed = raw_topic_feed(spark, sf_dir)
+    last = F.minute("timestamp").between(30, 35) | (F.col("offset") >= REDELIVERY_OFFSET)
+    for batch, delivery in enumerate((feed.filter(~last), feed.filter(last))):
+        write_batch(bronze_projection(delivery), paths.bronze, batch)
+        rebuild_silver_changes(spark, paths.bronze, paths.rebuilt_silver)
+    return shown(dataset(spark, paths.rebuilt_silver))

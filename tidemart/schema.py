@@ -58,6 +58,15 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 
+# Silver as the streams and the rebuild write it.
+SILVER_SCHEMA = T.StructType(
+    [
+        *EVENT_SCHEMA.fields,
+        T.StructField("stream_ingest_time", T.TimestampType()),
+        T.StructField("event_date", T.DateType()),
+    ]
+)
+
 PRODUCT_SCHEMA = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("product_id", "category", "price_band")]
 )

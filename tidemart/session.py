@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Settings that change results, or that the plans here are built on; everything else is left to
 # the cluster's own configuration.
 ENGINE_SETTINGS = {
@@ -69,3 +74,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="tidemart-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def together(jobs: list[Callable[[], Result]]) -> list[Result]:
+    """The results of independent jobs that are submitted at the same time, so that small stages of one
+    fill the cores that another leaves idle. All end before the first failure is raised."""
+    with ThreadPoolExecutor(max(1, len(jobs))) as pool:
+        futures = [pool.submit(job) for job in jobs]
+    return [future.result() for future in futures]

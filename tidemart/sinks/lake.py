@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-
-import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemart.sinks.releases import published
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -35,6 +35,14 @@ class LakePaths:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine/user_events"
 
+    @property
+    def late(self) -> str:
+        return f"{self.root}/late/user_events"
+
+    @property
+    def known_ids(self) -> str:
+        return f"{self.root}/known_ids/user_events"
+
     @property
     def gold(self) -> str:
         return f"{self.root}/gold"
@@ -79,46 +87,38 @@ def quarantine_sink(invalid: DataFrame, paths: LakePaths, trigger: dict) -> Stre
     )
 
 
-def overwrite_by_date(frame: DataFrame, path: str, only_dates: bool = False) -> None:
-    """Replace a date-partitioned dataset, or with ``only_dates`` just the dates in the frame.
+STREAM_BATCH = "stream_batch"
+
 
-    The rebalance hint lets Spark size the files: small dates are gathered into one task and a
-    date that holds much of the data is spread over several.
+def write_batch(frame: DataFrame, path: str, batch: int) -> None:
+    """Write a micro-batch's rows under their dates, in folders of its own.
+
+    The folders carry the batch's number, so a batch that is run again replaces what it wrote before
+    and nothing else.
     """
     (
-        frame.hint("rebalance", F.col("event_date"))
+        frame.withColumn(STREAM_BATCH, F.lit(batch).cast("bigint"))
+        .hint("rebalance", F.col("event_date"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if only_dates else "static")
-        .partitionBy("event_date")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date", STREAM_BATCH)
         .parquet(path)
     )
 
 
-def replace_range(frame: DataFrame, path: str, start: date | None, end: date | None) -> None:
-    """Replace the days from ``start`` to ``end`` of a date-partitioned dataset by those of ``frame``.
+def overwrite_by_date(frame: DataFrame, path: str, only_dates: bool = False) -> None:
+    """Replace a plain date-partitioned folder, or with ``only_dates`` just the dates in the frame.
 
-    The range is what is replaced: a day of it that the frame has no rows for is gone afterwards. The new
-    files are written beside the dataset first, out of readers' sight, and moved in day by day.
+    For folders that others write to as well, such as Bronze; what the batch jobs own is released in versions
+    instead (``published``).
     """
-    spark = frame.sparkSession
-    staged = f"{path}/_range-{uuid.uuid4().hex}"
-    frame.hint("rebalance", F.col("event_date")).write.partitionBy("event_date").parquet(staged)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def days(folder: str) -> list[str]:
-        names = [status.getPath().getName() for status in files.listStatus(hadoop.Path(folder))]
-        return [name for name in names if name.startswith("event_date=")]
-
-    for name in days(path):
-        day = name.removeprefix("event_date=")
-        if (not start or day >= start.isoformat()) and (not end or day <= end.isoformat()):
-            files.delete(hadoop.Path(f"{path}/{name}"), True)
-    for name in days(staged):
-        if not files.rename(hadoop.Path(f"{staged}/{name}"), hadoop.Path(f"{path}/{name}")):
-            raise OSError(f"cannot move {staged}/{name} to {path}")
-    files.delete(hadoop.Path(staged), True)
+    (
+        frame.hint("rebalance", F.col("event_date"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_dates else "static")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
 
 
 def gold_write(
@@ -129,11 +129,8 @@ def gold_write(
     start: date | None = None,
     end: date | None = None,
 ) -> str:
-    """Write a mart under ``gold_root`` and return its path: all of it, the dates in the frame, or
-    the range from ``start`` to ``end``."""
+    """Release a mart under ``gold_root`` and return its path: all of it, the dates in the frame, or
+    the range from ``start`` to ``end``, in which a day without rows is gone afterwards."""
     path = f"{gold_root}/{name}"
-    if start or end:
-        replace_range(frame, path, start, end)
-    else:
-        overwrite_by_date(frame, path, only_dates)
+    published(frame, path, only_dates, start, end)
     return path

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemart.operators.conform import conform
 from tidemart.schema import TableContract
+from tidemart.sinks.releases import UNDATED, Release, Releases, Staged
 
 
 @dataclass(frozen=True)
@@ -30,17 +28,63 @@ def warehouse_namespaces(spark: SparkSession, warehouse: Warehouse) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{place}")
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Inserts replace only the partitions they touch. Tables take this from the session; the
-    writer's own option works for paths only."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+def _releases(spark: SparkSession, namespace: str) -> Releases:
+    return Releases(spark, spark.catalog.getDatabase(namespace).locationUri)
+
+
+def namespace_release(spark: SparkSession, namespace: str) -> Release:
+    """What a namespace's tables are at present."""
+    return _releases(spark, namespace).release()
+
+
+def stage_table(
+    frame: DataFrame,
+    namespace: str,
+    contract: TableContract,
+    only_dates: bool = False,
+    start: date | None = None,
+    end: date | None = None,
+) -> Staged:
+    """Write a contract table's next rows in its types; nobody sees them before ``publish_tables``."""
+    rows = conform(frame, contract)
+    staged = _releases(frame.sparkSession, namespace).stage(rows, contract.name, only_dates, start, end)
+    if UNDATED in staged.days:
+        raise ValueError(f"{namespace}.{contract.name}: rows without event_date")
+    return staged
+
+
+def publish_tables(
+    spark: SparkSession, namespace: str, tables: list[tuple[Staged, TableContract]], since: Release | None = None
+) -> list[str]:
+    """Release the staged tables of a namespace together, then point the catalog's names at them.
+
+    A name is a view over a table of the release, whose partitions are the release's folders. Nothing is
+    copied or dropped: the view changes in one step, and what came before stays for those who read it. If
+    a run ends between two views, each of them shows a whole release, and the next run shows the newest.
+    """
+    releases = _releases(spark, namespace)
+    release = releases.publish([staged for staged, _ in tables], since)
+    return [_show(spark, namespace, contract, releases, release) for _, contract in tables]
+
+
+def _show(spark: SparkSession, namespace: str, contract: TableContract, releases: Releases, release: Release) -> str:
+    name, version = f"{namespace}.{contract.name}", f"{contract.name}__v"
+    table = f"{namespace}.{version}{release.version}"
+    columns = [f"`{column}` {dtype.simpleString()}" for column, dtype in contract.columns if column != "event_date"]
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, event_date date) USING parquet"
+        f" PARTITIONED BY (event_date) LOCATION '{releases.root}/{contract.name}'"
+    )
+    folders = releases.folders(contract.name, release)
+    if folders:
+        parts = " ".join(f"PARTITION (event_date = DATE '{day}') LOCATION '{path}'" for day, path in folders.items())
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(contract.column_names)} FROM {table}")
+    found = [row.tableName for row in spark.sql(f"SHOW TABLES IN {namespace} LIKE '{version}*'").collect()]
+    numbers = sorted(int(other.removeprefix(version)) for other in found if other.removeprefix(version).isdigit())
+    for number in numbers[:-2]:
+        spark.sql(f"DROP TABLE IF EXISTS {namespace}.{version}{number}")
+    return name
 
 
 def warehouse_write(
@@ -51,30 +95,11 @@ def warehouse_write(
     start: date | None = None,
     end: date | None = None,
 ) -> str:
-    """Overwrite a contract table, with ``only_dates`` the dates in the frame, or with ``start`` or
-    ``end`` that range of dates; its name."""
-    table = f"{namespace}.{contract.name}"
-    rows = conform(frame, contract).hint("rebalance", F.col("event_date"))
-    spark = frame.sparkSession
-    if (only_dates or start or end) and spark.catalog.tableExists(table):
-        if start or end:
-            _drop_days(rows, table, start, end)
-        with dynamic_overwrite(spark):
-            rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    else:
-        rows.write.mode("overwrite").format("parquet").partitionBy("event_date").saveAsTable(table)
-    return table
-
-
-def _drop_days(rows: DataFrame, table: str, start: date | None, end: date | None) -> None:
-    """Drop the table's days in the range that ``rows`` has none of; an insert leaves those alone."""
-    spark = rows.sparkSession
-    kept = {str(row.event_date) for row in rows.select("event_date").distinct().collect()}
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        day = row.partition.removeprefix("event_date=")
-        in_range = (not start or day >= start.isoformat()) and (not end or day <= end.isoformat())
-        if in_range and day not in kept:
-            spark.sql(f"ALTER TABLE {table} DROP PARTITION (event_date = DATE '{day}')")
+    """Replace a contract table, with ``only_dates`` the dates in the frame, or with ``start`` or
+    ``end`` that range of dates, in one step; its name."""
+    since = namespace_release(frame.sparkSession, namespace)
+    staged = stage_table(frame, namespace, contract, only_dates, start, end)
+    return publish_tables(frame.sparkSession, namespace, [(staged, contract)], since)[0]
 
 
 def jdbc_options(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.schema import EVENT_SCHEMA, PRODUCT_SCHEMA
+from tidemart.sinks.releases import dataset
 
 
 def silver_scan(
@@ -16,9 +17,11 @@ def silver_scan(
     """Silver with ``event_date`` recomputed from ``event_time``, optionally for some days.
 
     The days are first cut on the stored partition column, one day wider at each end so that a
-    partition written under another time zone is still read, then exactly on the recomputed date.
+    partition written under another time zone is still read, then exactly on the recomputed date. Of a
+    released dataset only the folders of these days are listed.
     """
-    silver = spark.read.parquet(path)
+    day = timedelta(days=1)
+    silver = dataset(spark, path, start - day if start else None, end + day if end else None)
     partitioned = "event_date" in silver.columns
     if partitioned and start:
         silver = silver.filter(F.col("event_date") >= F.date_sub(F.lit(start), 1))
