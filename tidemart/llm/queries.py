@@ -77,8 +77,8 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph of 40 words or more that repeats, nearly or exactly, and which of them stays."""
-    return ParagraphDedup(spark, table(spark, sf_dir, "documents")).clusters().drop("text_hash")
+    """Every passage of 50 words or more that repeats, nearly or exactly, wherever it lies."""
+    return ParagraphDedup(spark, table(spark, sf_dir, "documents")).spans().drop("text_hash")
 
 
 def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
