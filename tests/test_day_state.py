@@ -1,0 +1,98 @@
+"""KPI states that merge, and the numbers of ids behind them."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.samples import event, silver, topic, payload
+from tidemart.operators import marts
+from tidemart.operators.ingest import bronze_projection
+from tidemart.operators.validate import coerce_events
+from tidemart.plans import day_state
+from tidemart.plans.day_state import DayState, IdNumbers
+
+
+def ids(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "kind string, id string")
+
+
+def test_numbers_are_given_once_and_stay(spark, tmp_path):
+    numbers = IdNumbers(spark, f"{tmp_path}/numbers", 4)
+    first = {(r.kind, r.id): r.number for r in numbers.add(ids(spark, *(("user", f"u{k}") for k in range(40))), 0).collect()}
+    assert len(set(first.values())) == 40 and max(first.values()) < 4 * 40
+    more = ids(spark, *(("user", f"u{k}") for k in range(30, 60)), ("session", "u1"), ("session", "u1"))
+    second = {(r.kind, r.id): r.number for r in numbers.add(more, 1).collect()}
+    assert {k: second[k] for k in first} == first and len(second) == 61
+    users = [n for (kind, _), n in second.items() if kind == "user"]
+    assert len(set(users)) == 60
+    # The same part again gives the same numbers.
+    again = {(r.kind, r.id): r.number for r in numbers.add(more, 1).collect()}
+    assert again == second
+
+
+ROWS = [
+    event(event_id="1", user_id="u1", session_id="s1"),
+    event(event_id="2", user_id="u1", session_id="s2", event_type="purchase", order_id="o1", order_amount=10.005),
+    event(event_id="3", user_id="u2", session_id="s2", order_id="o9", order_amount=5.0),
+    event(event_id="4", user_id="u2", session_id="s3", event_time="2025-01-02T09:00:00+00:00"),
+    event(event_id="5", user_id="u1", session_id="s1", event_type="purchase", order_id="o1", order_amount=1.0),
+    event(event_id="6", user_id=None, session_id=None, event_type="purchase", order_id=None, order_amount=2.0),
+    event(event_id="7", user_id="u3", session_id="s1", event_type="purchase", order_id="o2", order_amount=None),
+    event(event_id="8", user_id="u2", session_id="s3", event_type="purchase", order_id="o1", order_amount=4.0, event_time="2025-01-02T10:00:00+00:00"),
+]
+
+
+def listed(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+@pytest.mark.parametrize("cuts", [(8,), (3, 8), (1, 2, 5, 8)])
+def test_merged_states_equal_a_whole_count(spark, tmp_path, cuts):
+    state = DayState(spark, f"{tmp_path}/lake/days", f"{tmp_path}/lake/numbers", 4)
+    done = 0
+    for cut in cuts:
+        state.add(silver(spark, *ROWS[done:cut]))
+        done = cut
+        assert listed(state.kpis()) == listed(marts.daily_kpis(silver(spark, *ROWS[:done])))
+
+
+def test_late_rows_write_their_days_only(spark, tmp_path, monkeypatch):
+    state = DayState(spark, f"{tmp_path}/days", f"{tmp_path}/numbers", 4)
+    state.add(silver(spark, *ROWS[:4]))
+    before = state.releases.release().datasets["days"]["days"]
+    read = []
+    real = state.releases.read
+    monkeypatch.setattr(state.releases, "read", lambda *a, **k: read.append(k.get("days")) or real(*a, **k))
+    state.add(silver(spark, ROWS[7]))
+    after = state.releases.release().datasets["days"]["days"]
+    assert read == [{"2025-01-02"}]
+    assert after["2025-01-01"] == before["2025-01-01"] and after["2025-01-02"] != before["2025-01-02"]
+    # A run that fails before it publishes counts nothing.
+    monkeypatch.setattr(state.releases, "publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        state.add(silver(spark, ROWS[4]))
+    monkeypatch.undo()
+    state.add(silver(spark, ROWS[4]))
+    assert listed(state.kpis()) == listed(marts.daily_kpis(silver(spark, *ROWS[:5], ROWS[7])))
+
+
+def test_many_ids_take_several_bitmaps(spark, tmp_path):
+    rows = silver(spark, ROWS[0]).crossJoin(spark.range(70_000).withColumnRenamed("id", "k"))
+    rows = rows.withColumn("user_id", F.concat(F.lit("u"), F.col("k") % 40_000)).drop("k")
+    state = DayState(spark, f"{tmp_path}/days", f"{tmp_path}/numbers", 8)
+    state.add(rows)
+    (kpi,) = state.kpis().collect()
+    assert (kpi.event_date, kpi.daily_active_users, kpi.total_events) == (date(2025, 1, 1), 40_000, 70_000)
+    assert state.releases.read("days").where("kind = 'user'").count() >= 2
+
+
+def test_raw_kpis_read_one_exchange_without_copies(spark):
+    events = coerce_events(bronze_projection(topic(spark, payload(), payload(event_id="b"))))
+    frame = marts.daily_kpis_from_raw(events)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "ReusedExchange" in plan and "Generate" in plan
+    assert day_state.SUMS not in day_state.KINDS

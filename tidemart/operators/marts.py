@@ -175,41 +175,40 @@ def product_daily_metrics(silver: DataFrame, products: DataFrame) -> DataFrame:
 def daily_kpis_from_raw(events: DataFrame) -> DataFrame:
     """Daily KPIs over undeduplicated events: orders and revenue of any event type, no buyers.
 
-    The input is parsed and deduplicated only once: its three keys are unpivoted into one column,
-    so one pass serves all three distinct counts. Rows without a key are dropped at once, except
-    that the user row stays because it carries the event itself.
+    Events are rolled up to one row per (day, session, user, order), and the distinct counts are three
+    branches over that. The branches ask the same of the rollup, so Spark parses, deduplicates and
+    shuffles the events for one of them and the others read its exchange.
     """
-    keyed = (
+    rollup = (
         dedup_latest(events)
         .select(
             F.to_date("event_time").alias("event_date"),
-            F.col("user_id").alias("user"),
-            F.col("session_id").alias("session"),
-            F.when(F.col("order_id") != "", F.col("order_id")).alias("order"),
+            "session_id",
+            "user_id",
+            F.when(F.col("order_id") != "", F.col("order_id")).alias("order_id"),
             amount_or_zero().alias("amount"),
         )
-        .unpivot(["event_date", "amount"], ["user", "session", "order"], "kind", "key")
+        .groupBy("event_date", "session_id", "user_id", "order_id")
+        .agg(F.count("*").alias("events"), F.sum("amount").alias("amount"))
+        # Always true; a branch that left the sums out would need an exchange of its own.
+        .filter((F.col("events") > 0) & F.col("amount").isNotNull())
     )
-    on_user = F.col("kind") == "user"
-    per_key = (
-        keyed.filter(on_user | F.col("key").isNotNull())
-        .groupBy("event_date", "kind", "key")
-        .agg(
-            _count_if(on_user).alias("events"),
-            F.sum(F.when(on_user, F.col("amount"))).alias("amount"),
-        )
-    )
-    return (
-        per_key.groupBy("event_date")
+    users = (
+        rollup.groupBy("event_date", "user_id")
+        .agg(F.sum("events").alias("events"), F.sum("amount").alias("amount"))
+        .groupBy("event_date")
         .agg(
-            _count_if(on_user & F.col("key").isNotNull()).alias("daily_active_users"),
+            F.count("user_id").alias("daily_active_users"),
             F.sum("events").alias("total_events"),
-            _count_if(F.col("kind") == "session").alias("total_sessions"),
-            _count_if(F.col("kind") == "order").alias("total_orders"),
             as_money(F.sum("amount")).alias("total_revenue"),
         )
-        .orderBy("event_date")
     )
+    counted = join_day_counts(
+        users.withColumn("purchase_users", F.lit(0)),
+        distinct_per_day(rollup, "session_id"),
+        distinct_per_day(rollup, "order_id"),
+    )
+    return counted.drop("purchase_users").orderBy("event_date")
 
 
 def session_metrics_from_raw(events: DataFrame) -> DataFrame:

@@ -483,6 +483,7 @@ ORACLES: dict[str, str] = {
             "daily_kpis", "conversion_funnel", "session_metrics", "product_daily_metrics",
         )
     },
+    "daily_kpis_merged": _with(MARTS, "SELECT * FROM daily_kpis"),
     "daily_kpis_from_raw": _with(
         COERCED,
         "SELECT event_date, count(DISTINCT user_id) AS daily_active_users, "

@@ -110,9 +110,7 @@ def rebuild_silver_changes(spark: SparkSession, bronze_path: str, silver_path: s
             .where("copy = 1")
             .drop("copy", "fresh")
         )
-        staged = replace(
-            releases.stage(merged, name, only_dates=True), emptied=tuple(sorted(touched)), note={READ_TO: newest}
-        )
-        return releases.publish([staged], before)
+        staged = releases.stage(merged, name, only_dates=True, note={READ_TO: newest})
+        return releases.publish([replace(staged, emptied=tuple(sorted(touched)))], before)
     finally:
         Files(spark, work).delete(work)

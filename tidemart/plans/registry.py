@@ -31,6 +31,7 @@ from tidemart.operators.validate import (
     validate_stream_rules,
 )
 from tidemart.plans.daily import daily_run
+from tidemart.plans.day_state import DayState
 from tidemart.plans.oracles import check_texts
 from tidemart.plans.rebuild import rebuild_silver_changes, rebuild_silver_from_bronze
 from tidemart.schema import (
@@ -237,6 +238,18 @@ def _daily_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.daily_kpis(events_as_silver(spark, sf_dir))
 
 
+@query("daily_kpis_merged")
+def _daily_kpis_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily KPIs from states that were merged: all events but those of two parts of each hour, then these."""
+    silver = events_as_silver(spark, sf_dir)
+    root = scratch_dir(spark, "day-state")
+    state = DayState(spark, f"{root}/days", f"{root}/numbers", STATE_PARTITIONS)
+    minute = F.minute("event_time")
+    for rows in (silver.where(minute < 30), silver.where(minute >= 45), silver.where(minute.between(30, 44))):
+        state.add(rows)
+    return state.kpis()
+
+
 @query("conversion_funnel")
 def _conversion_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.conversion_funnel(events_as_silver(spark, sf_dir))

@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +112,7 @@ class Releases:
         only_dates: bool = False,
         start: date | None = None,
         end: date | None = None,
+        note: dict | None = None,
     ) -> Staged:
         """Write ``frame`` as a batch of dataset ``name``: to replace all of it, the dates in the frame, or a range.
 
@@ -124,7 +125,7 @@ class Releases:
         days = tuple(day.removeprefix(DAY) for day in self.files.names(folder) if day.startswith(DAY))
         fields = [field for field in frame.schema.fields if field.name != "event_date"]
         schema = T.StructType([*fields, T.StructField("event_date", T.DateType())])
-        staged = Staged(name, batch, schema, days, only_dates, start, end)
+        staged = Staged(name, batch, schema, days, only_dates, start, end, note=note)
         outside = [day for day in days if not staged.replaces(day)]
         if outside:
             raise ValueError(f"{name}: rows of {', '.join(outside)} are outside of the range to replace")
@@ -211,8 +212,7 @@ def published(
     root, name = split_path(path)
     releases = Releases(frame.sparkSession, root)
     since = releases.release()
-    staged = releases.stage(frame, name, only_dates, start, end)
-    return releases.publish([replace(staged, note=note)], since)
+    return releases.publish([releases.stage(frame, name, only_dates, start, end, note)], since)
 
 
 def dataset(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> DataFrame:
