@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 import zlib
 
 import pytest
@@ -100,3 +101,36 @@ def test_all_significant_entries_and_exceptions_are_learnt(spark):
     texts = spark.createDataFrame([(phrases, False), (again, False)] * 3, "text string, toxic boolean").repartition(2)
     # A phrase before and one behind each entry; both texts end alike.
     assert len(learn_exceptions(texts, {" rotter": 2.0})) == 2 * (2 * 512) - 1
+
+
+def plain_matches(lexicon, text):
+    """Each word's longest entry, unless the word lies in an exception phrase; by looking at all places."""
+    starts = [k for k in range(len(text) - 1) if text[k] == " " and text[k + 1] != " "]
+    spared = set()
+    for phrase in lexicon.exceptions:
+        phrase = f" {phrase} "
+        for k in starts:
+            if text.startswith(phrase, k):
+                spared.update(range(k, k + len(phrase) - 1))
+    found = []
+    for k in starts:
+        entries = [e for e in lexicon.weights if text.startswith(e, k)]
+        if entries and k not in spared:
+            found.append((k, lexicon.weights[max(entries, key=len)]))
+    return found
+
+
+def test_matches_against_all_places():
+    rng = random.Random(8)
+    lexicon = Lexicon({" ab": 1.0, " ab ": 2.0, " abc": 3.0, " b": 4.0, " ca": 5.0}, ("ab b", "b ab", "ca ca", "abc ab"))
+    automaton = lexicon.automaton()
+    for _ in range(400):
+        text = fold(" ".join(rng.choice(["ab", "abc", "b", "ca", "cab", "d"]) for _ in range(rng.randint(0, 12))))
+        assert matches(automaton, text) == plain_matches(lexicon, text)
+
+
+def test_time_grows_with_the_number_of_exceptions():
+    automaton = Lexicon({" trash": 1.0}, ("trash can",)).automaton()
+    start = time.perf_counter()
+    assert len(matches(automaton, fold("trash can trash " * 100_000))) == 100_000
+    assert time.perf_counter() - start < 5

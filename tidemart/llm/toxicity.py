@@ -94,11 +94,16 @@ def matches(automaton: ahocorasick.Automaton, text: str) -> list[tuple[int, floa
             spared.append((start, end))
         elif start not in longest or length > longest[start][0]:
             longest[start] = (length, weight)
-    return [
-        (start, weight)
-        for start, (_, weight) in sorted(longest.items())
-        if not any(a <= start < b for a, b in spared)
-    ]
+    # Both lists are in order of their starts: one walk over them.
+    spared.sort()
+    found, reach, at = [], -1, 0
+    for start, (_, weight) in sorted(longest.items()):
+        while at < len(spared) and spared[at][0] <= start:
+            reach = max(reach, spared[at][1])
+            at += 1
+        if reach <= start:
+            found.append((start, weight))
+    return found
 
 
 def features(sums: np.ndarray, words: np.ndarray) -> np.ndarray:
