@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +68,16 @@ def test_repeated_long_and_no_rows(spark):
     got = kept(spark, [(1, "http://a.x", long)] * 3 + [(2, "http://a.x", "<p>line 7<p>new")])
     assert got == {1: [], 2: ["new"]}
     assert kept(spark, []) == {}
+
+
+@pytest.mark.parametrize("html", ["<" * 300_000, "<script" * 50_000, "<!-- " * 60_000, "<a " * 100_000, "<p>x" + "< " * 150_000])
+def test_time_grows_with_the_length_of_a_page(spark, html):
+    start = time.perf_counter()
+    spark.createDataFrame([(html,)], "h string").select(page_lines(F.col("h"))).collect()
+    assert time.perf_counter() - start < 10
+
+
+def test_tags_and_scripts_that_do_not_end(spark):
+    pages = ["<p>a < b<p>c", "<p>one<script>two<p>three", "<p>one<!-- two", "<b <i>x</i>"]
+    frame = spark.createDataFrame([(k, h) for k, h in enumerate(pages)], "k int, h string").select("k", page_lines(F.col("h")).alias("l"))
+    assert [r.l for r in frame.orderBy("k").collect()] == [["a < b", "c"], ["one"], ["one"], ["<b x"]]

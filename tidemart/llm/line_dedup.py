@@ -26,10 +26,11 @@ RATIO = 0.1
 MIN_PAGES = 3
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
-# What a reader does not see, and tags within a line (fixed values of HTML).
-UNSEEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-INLINE = r"(?i)</?(?:a|abbr|b|bdi|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var|wbr)(?:\s[^>]*)?>"
-TAG = r"<[^>]*>"
+# What a reader does not see, and tags within a line (fixed values of HTML). A tag ends at the next "<" at the latest, and
+# an unclosed script, style or comment goes on to the end: no part of a page is looked at for every "<" before it.
+UNSEEN = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+INLINE = r"(?i)</?(?:a|abbr|b|bdi|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var|wbr)(?:\s[^<>]*+)?>"
+TAG = r"<[^<>]*+>"
 
 
 def url_host(url: Column) -> Column:

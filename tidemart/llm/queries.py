@@ -176,9 +176,9 @@ LLM_ORACLES = {
                            string_split_regex(
                                regexp_replace(regexp_replace(regexp_replace(
                                    coalesce(html, ''),
-                                   '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', chr(10), 'g'),
-                                   '(?i)</?(?:a|abbr|b|bdi|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var|wbr)(?:\s[^>]*)?>', '', 'g'),
-                                   '<[^>]*>', chr(10), 'g'),
+                                   '(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', chr(10), 'g'),
+                                   '(?i)</?(?:a|abbr|b|bdi|cite|code|em|font|i|kbd|mark|q|s|samp|small|span|strong|sub|sup|u|var|wbr)(?:\s[^<>]*)?>', '', 'g'),
+                                   '<[^<>]*>', chr(10), 'g'),
                                '[\n\r]+'),
                            lambda l: trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))),
                        lambda l: l <> '') AS lines
