@@ -4,8 +4,10 @@ import itertools
 import random
 import re
 import string
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.llm.decontamination import ALLOWED, MASKS, SHORT_ALLOWED, SHORTEST, WINDOW, decontaminate, overlaps
 from tidemart.llm.queries import LLM_QUERIES
@@ -107,3 +109,15 @@ def test_odd_rows(spark):
     none = spark.createDataFrame([], ITEMS)
     assert decontaminate(spark, frame, none).count() == len(docs)
     assert overlaps(spark, spark.createDataFrame([], DOCS), bench).count() == 0
+
+
+def test_time_grows_with_the_length_of_one_text(spark):
+    """A text of one word 60,000 times, an item of the same word, and one text that holds many items again and again."""
+    items = [(1, "same " * 30)] + [(k, " ".join(f"w{k}x{j}" for j in range(40))) for k in range(2, 30)]
+    many = " ".join(text for _, text in items[1:]) * 40
+    docs = spark.createDataFrame([(1, "same " * 60_000), (2, many), (3, "other words " * 50)], "doc_id bigint, text string")
+    start = time.perf_counter()
+    found = overlaps(spark, docs, spark.createDataFrame(items, "item_id bigint, text string"))
+    counts = {(r.doc_id, r.item_id): r.n for r in found.groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).collect()}
+    assert time.perf_counter() - start < 60
+    assert counts[1, 1] >= 60_000 - 30 and all(counts[2, k] == 40 for k in range(2, 30)) and len(counts) == 29

@@ -41,6 +41,8 @@ MASKS = (
     (0, 1, 3, 4, 7, 8, 9),
 )
 SHORTEST = 8
+# Tokens of a document that alignments are met with at a time.
+PIECE = 512
 WINDOW = 20
 ALLOWED = 3
 # (tokens of the item, differences allowed) below a full window.
@@ -130,24 +132,23 @@ def stretches(docs: DataFrame, words: np.ndarray) -> DataFrame:
                 places, keys = places[order], keys[order]
                 owner = np.searchsorted(first, places, "right") - 1
                 cut = np.flatnonzero((np.diff(places) > 2 * WINDOW) | (np.diff(owner) > 0)) + 1
-                rows = []
-                for a, b in zip([0, *cut], [*cut, len(places)]):
-                    row = owner[a]
-                    start = max(first[row], places[a] - WINDOW)
-                    end = min(first[row + 1], places[b - 1] + 2 * WINDOW)
-                    hits = [{"seed": k, "at": p} for k, p in zip(signed(keys[a:b]), places[a:b] - start)]
-                    rows.append((number, row, start - first[row], signed(tokens[start:end]), hits))
-                    number += 1
-                numbers, of, start, texts, hits = zip(*rows)
-                of = pa.array(of)
+                bounds = np.concatenate([[0], cut, [len(places)]])
+                row = owner[bounds[:-1]]
+                start = np.maximum(first[row], places[bounds[:-1]] - WINDOW)
+                end = np.minimum(first[row + 1], places[bounds[1:] - 1] + 2 * WINDOW)
+                at = (places - np.repeat(start, np.diff(bounds))).astype(np.int32)
+                hits = pa.StructArray.from_arrays([pa.array(signed(keys)), pa.array(at)], fields=list(hit_type.value_type))
+                of = pa.array(row)
+                numbers = number + np.arange(len(row))
+                number += len(row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(numbers, pa.int64()),
                         block.column(0).take(of),
                         block.column(1).take(of),
-                        pa.array(start, pa.int64()),
-                        pa.array(texts, pa.list_(pa.int64())),
-                        pa.array(hits, hit_type),
+                        pa.array((start - first[row]).astype(np.int64)),
+                        pa.array([signed(tokens[a:b]) for a, b in zip(start, end)], pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), hits),
                     ],
                     names=names,
                 )
@@ -178,10 +179,21 @@ def _overlaps(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Dat
     around = stretches(docs, filter_words(listed, F.col("seed")))
     hits = around.select("stretch", F.explode("hits").alias("h")).select("stretch", "h.seed", F.col("h.at").alias("place"))
     laid = hits.join(listed, "seed").select("stretch", "item", (F.col("place") - F.col("at")).alias("shift")).distinct()
+    laid = laid.withColumn("piece", F.expr(f"greatest(shift, 0) div {PIECE}"))
     laid = written(spark, laid, "alignments")
 
-    texts = around.select("stretch", "doc_id", "text_hash", "start", F.col("tokens").alias("own"))
-    met = laid.join(texts, "stretch").join(items.select("item", F.col("tokens").alias("theirs")).dropDuplicates(["item"]), "item")
+    # An alignment takes the piece of its stretch that it starts in, with all that the longest item can reach.
+    reach = items.agg(F.max(F.size("tokens"))).first()[0] or 0
+    texts = around.select(
+        "stretch", "doc_id", "text_hash", "start", "tokens",
+        F.explode(F.expr(f"sequence(0L, greatest(size(tokens) - 1, 0) div {PIECE})")).alias("piece"),
+    )
+    texts = texts.select(
+        "stretch", "piece", "doc_id", "text_hash", (F.col("start") + F.col("piece") * PIECE).alias("start"),
+        F.slice("tokens", (F.col("piece") * PIECE + 1).cast("int"), F.lit(PIECE + reach)).alias("own"),
+    )
+    met = laid.join(texts, ["stretch", "piece"]).withColumn("shift", F.col("shift") - (F.col("piece") * PIECE).cast("int"))
+    met = met.join(items.select("item", F.col("tokens").alias("theirs")).dropDuplicates(["item"]), "item")
     # Aligned tokens: from item_start of the item, which lies shift tokens into the stretch.
     met = met.withColumn("item_start", F.greatest(F.lit(0), -F.col("shift")))
     met = met.withColumn("own_start", F.col("item_start") + F.col("shift"))
