@@ -1,0 +1,110 @@
+"""Writing events to a topic and reading them back; one JSON array read by several tasks."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.samples import event, silver
+from tests.test_tables import two_days
+from tidemart.operators.ingest import bronze_projection
+from tidemart.operators.validate import validate_contract_rules
+from tidemart.schema import EVENT_SCHEMA, FIELD_NAMES
+from tidemart.sinks.topic import LandedTopic, kafka_options, kafka_write, topic_records
+from tidemart.sources.adapters import events_as_silver
+from tidemart.sources.json_array import json_array_scan, json_elements
+from tidemart.sources.lake import event_json_array_scan
+from tidemart.sources.topic import landed_topic_source
+from tidemart.streaming.lakehouse import AVAILABLE_NOW, await_queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_a_key_is_in_one_partition(spark):
+    twice = two_days(spark).union(two_days(spark))
+    rows = topic_records(twice, 3).collect()
+    places = {}
+    for row in rows:
+        places.setdefault(bytes(row.key), set()).add(row.partition)
+    assert len(rows) == 6 and all(len(p) == 1 for p in places.values())
+    with pytest.raises(Exception, match="no key"):
+        topic_records(silver(spark, event(event_id=None)), 3).collect()
+
+
+def test_offsets_go_on_over_batches_and_repeats_replace(spark, tmp_path):
+    topic = LandedTopic(f"{tmp_path}/t", "events", 2)
+    for batch in (0, 1, 1):
+        topic.write(two_days(spark).withColumn("event_id", F.concat("event_id", F.lit(f"-{batch}"))), batch)
+    rows = topic.read(spark).collect()
+    assert len(rows) == 6 and len({(r.partition, r.offset) for r in rows}) == 6
+    for partition in (0, 1):
+        offsets = sorted(r.offset for r in rows if r.partition == partition)
+        assert offsets == list(range(len(offsets)))
+
+
+def test_a_stream_of_events_lands_once(spark, tmp_path):
+    events = events_as_silver(spark, SF_DIR).drop("event_date")
+    events.limit(300).repartition(3).write.parquet(f"{tmp_path}/in")
+    topic = LandedTopic(f"{tmp_path}/t", "events", 4)
+    for _ in range(2):
+        stream = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        await_queries([topic.start(stream, f"{tmp_path}/checkpoint", AVAILABLE_NOW)])
+    back = validate_contract_rules(bronze_projection(topic.read(spark)))
+    sent = spark.read.parquet(f"{tmp_path}/in")
+    assert sorted(map(repr, back.select(*FIELD_NAMES).collect())) == sorted(map(repr, sent.select(*FIELD_NAMES).collect()))
+    # And S1 reads the landed records as a stream.
+    records = landed_topic_source(spark, f"{tmp_path}/t/batch=*")
+    copy = records.writeStream.format("parquet").option("path", f"{tmp_path}/copy").option("checkpointLocation", f"{tmp_path}/c2")
+    await_queries([copy.trigger(**AVAILABLE_NOW).start()])
+    assert spark.read.parquet(f"{tmp_path}/copy").count() == 300
+
+
+def test_kafka_takes_the_same_records(spark):
+    options = kafka_options("broker:9092", "user_events_v1")
+    assert options["kafka.acks"] == "all" and options["topic"] == "user_events_v1"
+    # No connector package here: Spark must say so, not something else.
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_write(two_days(spark), options, 3)
+
+
+NASTY = ['plain', 'a "quoted" word', "} ] { [", '\\', '\\"', 'end\\', '"}', "\n}\t", "é}日本", "", '{"x": [1, "}"]}', "\\\\\"}"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+    spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+@pytest.mark.parametrize("size", [7, 61, 400, 10_000_000])
+@pytest.mark.parametrize("indent", [None, 2])
+def test_strings_with_brackets_and_escapes(spark, tmp_path, small_splits, size, indent):
+    rng = random.Random(size)
+    elements = [
+        {"event_id": f"e{k}", "user_id": rng.choice(NASTY), "session_id": rng.choice(NASTY), "more": {"a": [rng.choice(NASTY), {"b": k}]}}
+        for k in range(12 if size == 7 else 150)
+    ]
+    (tmp_path / "in").mkdir()
+    for number, part in enumerate((elements[::2], elements[1::2], [])):
+        (tmp_path / "in" / f"{number}.json").write_text(json.dumps(part, indent=indent, ensure_ascii=number == 0))
+    small_splits(size)
+    found = [json.loads(r.element) for r in json_elements(spark, f"{tmp_path}/in").collect()]
+    assert sorted(found, key=lambda e: int(e["event_id"][1:])) == elements
+
+
+def test_one_file_over_several_tasks_gives_the_same_rows(spark, tmp_path, small_splits):
+    events = events_as_silver(spark, SF_DIR).limit(500).toPandas()[list(FIELD_NAMES)]
+    rows = json.loads(events.to_json(orient="records", date_format="iso"))
+    (tmp_path / "events.json").write_text(json.dumps(rows, indent=1))
+    small_splits(20_000)
+    frame = json_array_scan(spark, str(tmp_path), EVENT_SCHEMA)
+    pieces = spark.read.option("lineSep", "}").text(str(tmp_path))
+    assert pieces.rdd.getNumPartitions() > 5
+    expected = event_json_array_scan(spark, str(tmp_path))
+    assert sorted(map(repr, frame.collect())) == sorted(map(repr, expected.collect())) and frame.count() == 500
