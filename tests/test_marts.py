@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
-from tests.samples import event, silver
+from tests.samples import bronze, event, payload, silver
 from tidemart.operators import marts, reports
 from tidemart.operators.dedup import dedup_latest
+from tidemart.operators.validate import route_valid, validate_contract_rules, validate_stream_rules
 from tidemart.plans import daily
 from tidemart.schema import PRODUCT_SCHEMA
 from tidemart.sources.adapters import events_as_silver
@@ -189,3 +191,25 @@ def test_reports_are_sorted(spark):
     assert dates == sorted(dates, reverse=True)
     funnel = reports.report_conversion_funnel(marts.conversion_funnel(events)).collect()
     assert [row.event_date for row in funnel] == dates
+
+
+@pytest.mark.parametrize("amount", [1e22, 1e23, -5e300])
+def test_amounts_too_large_to_sum_are_refused(spark, amount):
+    """The contract rules quarantine them; looser rules let them into Silver, where no mart passes over them."""
+    rows = bronze(spark, payload(event_type="purchase", order_id="o", order_amount=amount), payload(event_id="b"))
+    strict = validate_contract_rules(rows)
+    assert [r.event_id for r in route_valid(strict).collect()] == ["b"]
+    if amount > 0:
+        loose = route_valid(validate_stream_rules(rows))
+        assert loose.count() == 2
+        for mart in (marts.daily_kpis, marts.session_metrics, marts.daily_kpis_from_raw):
+            with pytest.raises(Exception, match="too large to be summed"):
+                mart(loose).collect()
+
+
+def test_amounts_that_are_no_numbers_do_not_count(spark):
+    rows = silver(
+        spark,
+        *(event(event_id=str(k), event_type="purchase", order_id="o", order_amount=a) for k, a in enumerate([float("inf"), float("nan"), 2.5, None])),
+    )
+    assert marts.daily_kpis(rows).first().total_revenue == 2.5

@@ -47,8 +47,15 @@ def is_purchase() -> Column:
 
 
 def exact_amount(amount: Column) -> Column:
-    """The amount as a decimal; null when it is missing, not finite or LARGEST_AMOUNT and more."""
-    return amount.try_cast(EXACT_AMOUNT)
+    """The amount as a decimal; null when it is missing or not finite.
+
+    One of LARGEST_AMOUNT and more raises: it would be lost from a sum. The contract rules keep such
+    events out of Silver; events that came in by looser rules have to be corrected first.
+    """
+    size = F.abs(amount)
+    too_large = (size >= F.lit(LARGEST_AMOUNT)) & (size < F.lit(float("inf")))
+    refused = F.raise_error(F.concat(F.lit("order_amount is too large to be summed: "), amount.cast("string")))
+    return F.when(too_large, refused.cast(EXACT_AMOUNT)).otherwise(amount.try_cast(EXACT_AMOUNT))
 
 
 def _zero() -> Column:

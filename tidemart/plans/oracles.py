@@ -474,6 +474,14 @@ ORACLES: dict[str, str] = {
         SILVER,
         f"SELECT {_FIELD_LIST} FROM silver",
     ),
+    "topic_sink": _with(
+        SILVER,
+        f"SELECT {_FIELD_LIST} FROM silver",
+    ),
+    "event_json_array_split": _with(
+        SILVER,
+        f"SELECT {_FIELD_LIST} FROM silver",
+    ),
     "product_left_join": _with(
         f"{SILVER}, {PRODUCTS}", "SELECT * FROM silver LEFT JOIN products USING (product_id)"
     ),

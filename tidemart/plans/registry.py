@@ -37,6 +37,7 @@ from tidemart.plans.rebuild import rebuild_silver_changes, rebuild_silver_from_b
 from tidemart.schema import (
     CONVERSION_FUNNEL_TABLE,
     DAILY_KPIS_TABLE,
+    EVENT_SCHEMA,
     FIELD_NAMES,
     PRODUCT_METRICS_TABLE,
     SESSION_METRICS_TABLE,
@@ -47,12 +48,16 @@ from tidemart.session import scratch_dir, stream_session, tune
 from tidemart.sinks.lake import STREAM_BATCH, LakePaths, gold_write, overwrite_by_date, write_batch
 from tidemart.sinks.releases import dataset, published
 from tidemart.sinks.warehouse import Warehouse, warehouse_namespaces, warehouse_write
+from tidemart.sinks.topic import LandedTopic
 from tidemart.sources.adapters import (
     REDELIVERY_OFFSET,
+    TOPIC,
+    TOPIC_PARTITIONS,
     events_as_silver,
     parts_as_products,
     raw_topic_feed,
 )
+from tidemart.sources.json_array import json_array_scan
 from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
 from tidemart.sources.topic import landed_topic_source
 from tidemart.streaming.id_index import IdIndex
@@ -224,6 +229,31 @@ def _topic_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(parsed.select(*FIELD_NAMES))
 
 
+@query("topic_sink")
+def _topic_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written to a landed topic in two batches, read back and parsed."""
+    topic = LandedTopic(scratch_dir(spark, "topic"), TOPIC, TOPIC_PARTITIONS)
+    silver = events_as_silver(spark, sf_dir)
+    early = F.minute("event_time") < 30
+    topic.write(silver.where(early), 0)
+    topic.write(silver.where(~early), 1)
+    return shown(parse_payload(bronze_projection(topic.read(spark))).select(*FIELD_NAMES))
+
+
+@query("event_json_array_split")
+def _event_json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events from one file that holds a single array."""
+    path = scratch_dir(spark, "json-array")
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    events = events_as_silver(spark, sf_dir).select("event_id", F.to_json(F.struct(*FIELD_NAMES), options).alias("event"))
+    first = events.agg(F.min("event_id")).first()[0]
+    opens = F.col("event_id") == first
+    lines = events.select(F.when(opens, 0).otherwise(1).alias("nth"), F.concat(F.when(opens, "[").otherwise(","), "event").alias("line"))
+    lines = lines.union(spark.createDataFrame([(2, "]")], "nth int, line string"))
+    lines.coalesce(1).sortWithinPartitions("nth").select("line").write.text(path)
+    return shown(json_array_scan(spark, path, EVENT_SCHEMA))
+
+
 # Joins and marts
 
 
