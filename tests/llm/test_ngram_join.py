@@ -11,7 +11,7 @@ from tests.llm.brute import jaccard_components, roots
 from tidemart.llm import ngram_join
 from tidemart.llm.components import components
 from tidemart.llm.hashing import mix
-from tidemart.llm.ngram_join import Signatures, ngram_components
+from tidemart.llm.ngram_join import Signatures, keep_one, ngram_components
 from tidemart.llm.queries import LLM_ORACLES, LLM_QUERIES
 
 SCHEMA = "doc_id bigint, text string, node string, component_id string"
@@ -101,3 +101,28 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark, frame).collect()}
     nodes = set(itertools.chain.from_iterable(e for e in edges if e[0] != e[1]))
     assert got == roots(nodes, [e for e in edges if e[0] != e[1]])
+
+
+def near(words, *places):
+    """A text like another one, with a word changed at each place."""
+    changed = list(words)
+    for place in places:
+        changed[place] = f"changed{place}"
+    return " ".join(changed)
+
+
+def test_texts_that_share_an_id_keep_all_their_links(spark):
+    a, b, c = ([f"{name}{k}" for k in range(90)] for name in "abc")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (5, near(a, 40)), (6, near(b, 40)), (7, near(b, 10)), (8, " ".join(c)), (9, near(c, 0))]
+    got = {k: v[1] for k, v in found(spark, rows).items()}
+    assert got == {1: 1, 5: 1, 6: 1, 7: 1, 8: 8, 9: 8}
+
+
+def test_rows_without_an_id_are_linked_by_similar_texts(spark):
+    a, b = ([f"{name}{k}" for k in range(90)] for name in "ab")
+
+    rows = [(None, near(a, 40)), (5, near(a, 40, 0)), (6, near(a, 40, 89)), (None, " ".join(b)), (None, near(b, 3))]
+    frame = spark.createDataFrame([(d, t, "", "") for d, t in rows], SCHEMA)
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in ngram_components(spark, frame).collect()) == [(0, 0), (0, 0), (0, 5), (5, 5), (6, 5)]
+    kept = sorted((r.doc_id or 0, r.text) for r in keep_one(spark, frame).collect())
+    assert kept == sorted([(0, " ".join(b)), (0, near(b, 3)), (5, near(a, 40, 0))])

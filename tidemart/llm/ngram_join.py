@@ -1,4 +1,4 @@
-"""Similarity join of documents on their word n-grams, by PartEnum signatures.
+"""Similarity join of documents on their word n-grams, by signatures of parts of the shingle domain.
 
 Two documents link when the Jaccard similarity of their sets of distinct n-word shingles reaches the
 threshold t (a fraction num / den). The join is exact and never looks at all pairs:
@@ -9,7 +9,7 @@ threshold t (a fraction num / den). The join is exact and never looks at all pai
   with at most d different elements differ in at most d parts, and similarity t bounds d by their sizes.
   A signature is a part's number and the hash of the set's elements in it, so the pair has all
   signatures but d in common. Parts outnumber the greatest d of their band.
-* **Subsets.** Of each set only d + 1 signatures are needed, if all sets choose by one order: with all
+* **Prefixes.** PartEnum would enumerate subsets of parts; single parts do here. Of each set only d + 1 signatures are needed, if all sets choose by one order: with all
   but d in common, the first d + 1 of either must share one. The order puts signatures known to be
   frequent last, those of parts with more elements first, and empty parts last of all. So passages that
   very many documents share cost next to nothing. The frequent ones come from lossy counting over all
@@ -20,8 +20,8 @@ which frequent ones are dealt over sub-groups first, and whose nodes are then li
 similarities are counted exactly, and links are closed to components.
 
 Cases: null, empty and blank-only texts have no shingles and link with nothing; a text with fewer words
-than n has its whole sequence as its one shingle. Rows without an id take the component of the others
-with their text, or null. Repeated rows are linked like copies, and rows that share an id are one
+than n has its whole sequence as its one shingle. Rows without an id are linked like others and take the component
+of the documents that they reach, or null. Repeated rows are linked like copies, and rows that share an id are one
 document, with the links of all its texts. Texts are read whole. Extra columns are
 ignored; an empty table gives no rows.
 """
@@ -261,10 +261,13 @@ class NgramJoin:
                 )
 
         rows = self.docs.mapInArrow(kept, "doc_id bigint, node bigint, elements array<bigint>, bits array<bigint>")
-        # One row per set: that of its representative's id.
-        rows = rows.join(reps.select(F.col("rep").alias("doc_id"), F.col("node").alias("rep_node")), "doc_id")
-        rows = rows.where("node = rep_node and size(elements) > 0").drop("rep_node")
-        return written(self.spark, rows.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "rep"), "ngram-sets")
+        # One row per set: that of its first document. Rows without an id meet by their sets.
+        named = reps.select("rep", "own_id", F.col("node").alias("rep_node"))
+        rows = rows.where("size(elements) > 0").join(
+            named, (F.col("node") == F.col("rep_node")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
+        )
+        rows = rows.select("rep", "node", "elements", "bits").dropDuplicates(["rep", "node"])
+        return written(self.spark, rows, "ngram-sets")
 
     def run(self) -> DataFrame:
         """One row per document: doc_id, text_hash, n_shingles and component_id."""
@@ -273,18 +276,21 @@ class NgramJoin:
     def _run(self) -> DataFrame:
         prints = self.prints()
         docs = prints.where("node is not null").select("doc_id", "text_hash", "n_shingles", "node", "check")
-        reps = docs.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("rep"))
+        reps = docs.where("n_shingles > 0").groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("own_id"))
+        # Sets of rows without an id take part under numbers behind all ids. Texts that share an id are one vertex.
+        highest = max(docs.agg(F.max("doc_id")).first()[0] or 0, 0)
+        reps = reps.withColumn("rep", F.coalesce("own_id", F.monotonically_increasing_id() + (highest + 1)))
         reps = written(self.spark, reps, "ngram-sets-named")
-        named = reps.where("rep is not null")
 
         groups = written(self.spark, self.groups(self.frequent(prints)), "ngram-led")
         nodes = groups.select(F.explode(F.array("leader", "node")).alias("node")).distinct()
-        sets = self.sets(nodes, named)
-        labels = Linker(self.spark, self.num, self.den).components(groups, named, sets)
+        sets = self.sets(nodes, reps)
+        labels = Linker(self.spark, self.num, self.den).components(groups, reps.select("node", "rep"), sets)
 
         final = reps.join(labels, reps["rep"] == labels["node"], "left").select(
             reps["node"], "check", "n_shingles", F.coalesce("component", "rep").alias("component_id")
         )
+        final = final.withColumn("component_id", F.when(F.col("component_id") <= highest, F.col("component_id")))
         final = written(self.spark, final, "ngram-components")
         found = docs.where("n_shingles > 0").join(final, ["node", "check", "n_shingles"])
         alone = docs.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
