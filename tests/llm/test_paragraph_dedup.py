@@ -124,6 +124,61 @@ def test_bands_reach_the_recall():
     assert tuned_bands(0.8) == 2 and found >= 0.95 * 2000
 
 
+def sets_of(texts):
+    found = Paragraphs(*text_bytes(pa.array([" ".join(text) for text in texts])))
+    # Every stretch of each text as a paragraph.
+    starts = [np.arange(a, max(b - STRETCH + 1, a)) for a, b in zip(found.first[:-1], found.first[1:])]
+    found.places = np.concatenate(starts)
+    found.owner = np.repeat(np.arange(len(starts)), [len(s) for s in starts])
+    found.shingles = found.grams[found.places + np.arange(SHINGLES)[:, None]]
+    return found, [frozenset(column.tolist()) for column in found.shingles.T]
+
+
+@pytest.mark.parametrize("letters,num,den", [(3, 80, 100), (9, 80, 100), (400, 80, 100), (3, 50, 100), (400, 50, 100)])
+def test_every_similar_pair_shares_a_band(letters, num, den):
+    rng = random.Random(letters)
+    texts = []
+    for _ in range(40):
+        text = [f"v{rng.randrange(letters)}" for _ in range(24)]
+        if rng.random() < 0.5:
+            # Words that go round: shingles come twice, or in another order.
+            period = rng.randrange(1, 20)
+            text = (text[:period] * 24)[:24]
+        other = list(text)
+        for _ in range(rng.randrange(3)):
+            other[rng.randrange(24)] = f"v{rng.randrange(letters)}"
+        turn = rng.randrange(24)
+        texts += [text, other, text[turn:] + text[:turn], ["x"] * rng.randrange(3) + other]
+    found, sets = sets_of(texts)
+    bands = [set() for _ in sets]
+    for paragraph, value in zip(*found.keys(num, den)[:2]):
+        bands[paragraph].add(int(value))
+    similar = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if sets[a] != sets[b] and common * den >= (len(sets[a]) + len(sets[b]) - common) * num:
+                similar += 1
+                assert bands[a] & bands[b], (a, b)
+    assert similar > 20
+
+
+def test_a_paragraph_that_begins_a_word_later_shares_a_band():
+    rng = random.Random(7)
+    run = [f"r{k}" for k in range(STRETCH + 1)]
+    found, _ = sets_of([run])
+    assert set(found.bands(2)[0]) & set(found.bands(2)[1])
+    # Of two texts with 19 words in common, each with other words around, the paragraphs there are linked.
+    linked = 0
+    for trial in range(40):
+        middle = [f"m{rng.randrange(10**6)}" for _ in range(STRETCH - 1)]
+        found, sets = sets_of([[f"a{trial}", *middle], [*middle, f"b{trial}"]])
+        assert len(sets[0] & sets[1]) == SHINGLES - 1
+        values = found.bands(2)
+        linked += bool(set(values[0]) & set(values[1]))
+    assert linked == 40
+
+
 def test_long_runs_hold_paragraphs():
     rng = random.Random(4)
     passage = [f"p{rng.randrange(10**6)}" for _ in range(47)]

@@ -2,10 +2,16 @@
 
 A paragraph is a stretch of STRETCH words, wherever it lies in a text: inside a line or across line breaks. Paragraphs
 start at the least 5-word hash of every window of WINDOW words, so equal passages have equal paragraphs, whatever is around
-them, and each run of WINDOW + STRETCH + 3 equal words holds one at least. A paragraph's set are its distinct 5-word shingles;
-its MinHash values are grouped into bands, so many that two paragraphs of the threshold's similarity share a
-band with at least the wanted probability (``tuned_bands``; a passage has several paragraphs). Paragraphs that share a band are compared exactly, and
-links are closed to clusters.
+them, and each run of WINDOW + STRETCH + 3 equal words holds one at least. A paragraph's set are its distinct 5-word shingles.
+Bands of their hashes are so laid that every two paragraphs of the threshold's similarity share one. Paragraphs that share a band
+are compared exactly, and links are closed to clusters.
+
+At the threshold two paragraphs of 16 shingles differ in one shingle each at most (``tuned_bands``). Such a shingle lies at an end,
+so that a band is the run of all shingles but the first, or but the last: a paragraph that differs in an edge word, or begins a word
+later, has one of them too. Only where a paragraph has the same three words twice can shingles be met in another order, or a shingle
+come twice; then both paragraphs have three equal words twice, or share a run, or are equal (a shingle that is not in the other
+joins two places there only if three words of these are equal). Such paragraphs also have bands of one value, their least MinHash values, as many as two
+sets may differ in plus one. With lower thresholds all paragraphs have these.
 
 A cluster's paragraphs are all met with its first occurrence, by doc_id and place. Paragraphs of a text that
 have an earlier occurrence are joined to spans: those that touch or overlap, and those up to GAP words apart whose
@@ -14,7 +20,7 @@ both ends as far as a first occurrence of its paragraphs goes on alike. It is a
 its paragraphs or grown. These ``remove_repeats`` cuts from their texts. In the same way, paragraphs that are first
 occurrences give the passages that are kept.
 
-Only paragraphs are listed that share a band's value with another place, by a Bloom filter of a size with a fixed
+Only paragraphs are listed that share a band with another place (a paragraph's neighbour that begins a word later is none), by a Bloom filter of a size with a fixed
 bound, which spares the rest the shuffle. No pairs of occurrences are made; equal sets are one node, and a
 band's nodes are compared with its most central one first, and only where components are still apart with others
 (see ``linking``).
@@ -48,19 +54,19 @@ STRETCH = 20
 WINDOW = 24
 SIZE = 5
 SHINGLES = STRETCH - SIZE + 1
+# Equal words at two places that let shingles be met in another order.
+THREE = SIZE - 2
 # Words beside a paragraph that spans may grow into; what is further away has a paragraph of its own.
 MARGIN = WINDOW + SIZE - 1
 GAP = 10
 SLACK = 3
-ROWS = 1
-RECALL = 0.95
 # A bit more than Bloom filters have elsewhere: 32 MB at most.
 FILTER_BITS = 1 << 28
 
 
-def tuned_bands(threshold: float, rows: int = ROWS, recall: float = RECALL) -> int:
-    """The fewest bands of ``rows`` values that find a pair of this similarity with this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+def tuned_bands(threshold: float) -> int:
+    """How many shingles of a paragraph hold one at least that is in any other of this similarity, if no shingle comes twice."""
+    return SHINGLES - math.ceil(2 * SHINGLES * threshold / (1 + threshold) - 1e-9) + 1
 
 
 class Paragraphs:
@@ -92,21 +98,44 @@ class Paragraphs:
         self.owner = owner[self.places]
         self.shingles = self.grams[self.places + np.arange(SHINGLES)[:, None]]
 
-    def bands(self, bands: int) -> np.ndarray:
-        """Per paragraph and band its value, which also says where in the paragraph the least shingle lies.
+    def looping(self) -> np.ndarray:
+        """Per paragraph whether it has the same THREE words twice."""
+        grams = gram_hashes(self.words, THREE)
+        # Paragraphs that begin from the last place that still holds the second of two up to the first: +1 and -1.
+        steps = np.zeros(len(self.words) + 1, np.int64)
+        for apart in range(1, STRETCH - THREE + 1):
+            second = np.flatnonzero(grams[apart:] == grams[:-apart]) + apart
+            np.add.at(steps, np.maximum(second + THREE - STRETCH, 0), 1)
+            np.add.at(steps, second - apart + 1, -1)
+        return np.cumsum(steps)[self.places] > 0
 
-        So paragraphs that overlap in a text have no values in common, and those that are equal but for some
-        words have.
-        """
-        values = np.zeros((len(self.places), bands), np.uint64)
-        factors = mix(np.arange(1, bands * ROWS + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
-        for k, factor in enumerate(factors):
-            hashed = self.shingles * factor
-            least = hashed.argmin(axis=0)
-            found = hashed[least, np.arange(len(self.places))]
-            seen = values[:, k // ROWS] * np.uint64(BASE) + found + least.astype(np.uint64)
-            values[:, k // ROWS] = mix(seen + (np.uint64(k) << np.uint64(32)))
-        return values
+    def bands(self, bands: int) -> np.ndarray:
+        """Per paragraph the values of its ``bands`` runs of shingles, each as long as the number leaves room for."""
+        rows = SHINGLES - bands + 1
+        mixed = mix(self.shingles + np.uint64(2))
+        return mix(np.stack([mixed[k : k + rows].sum(axis=0, dtype=np.uint64) for k in range(bands)], axis=1))
+
+    def keys(self, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All bands as ``(paragraph, value)``, and whether the value is the one of a neighbour that begins a word earlier."""
+        every = np.arange(len(self.places))
+        if num * (SHINGLES + 2) <= den * (SHINGLES - 2):
+            # Similar sets may differ in two shingles each.
+            runs, some = np.zeros((len(every), 0), np.uint64), every
+        else:
+            runs, some = self.bands(2), every[self.looping()]
+        again = np.zeros(runs.shape, bool)
+        if runs.shape[1]:
+            again[1:, 0] = (np.diff(self.places) == 1) & (self.owner[1:] == self.owner[:-1])
+        # The least values of sets: as many as may be missing in a set of the threshold's similarity, and one more.
+        hashed = np.sort(mix(self.shingles[:, some] + np.uint64(3)), axis=0)
+        new = np.ones(hashed.shape, bool)
+        new[1:] = hashed[1:] != hashed[:-1]
+        size = new.sum(axis=0)
+        wanted = size + 1 - (size * num + den - 1) // den
+        rank, of = np.nonzero(new & (np.cumsum(new, axis=0) <= wanted))
+        paragraph = np.concatenate([np.repeat(every, runs.shape[1]), some[of]])
+        values = np.concatenate([runs.reshape(-1), mix(hashed[rank, of])])
+        return paragraph, values, np.concatenate([again.reshape(-1), np.zeros(len(of), bool)])
 
     def nodes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Names of the paragraphs' sets, their sorted shingles, and which of these are the first of their value."""
@@ -131,6 +160,13 @@ def _lists(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
 
+def _grouped(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
+    """The values of each of ``n`` owners as lists."""
+    order = np.argsort(owner, kind="stable")
+    offsets = np.searchsorted(owner[order], np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order]))
+
+
 class ParagraphDedup:
     """Repeated passages of ``docs`` (doc_id, text)."""
 
@@ -144,13 +180,14 @@ class ParagraphDedup:
         )
 
     def shared(self) -> DataFrame:
-        """``(signature)`` of the bands' values that occur at several places."""
-        bands = tuned_bands(self.num / self.den)
+        """``(signature)`` of the bands that occur at several places."""
+        num, den = self.num, self.den
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for _, data, offsets in text_blocks(batch):
-                    keys, n = np.unique(Paragraphs(data, offsets).bands(bands), return_counts=True)
+                    _, values, again = Paragraphs(data, offsets).keys(num, den)
+                    keys, n = np.unique(values[~again], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(signed(keys)), pa.array(n)], names=["signature", "n"])
 
         found = self.light.select("text").mapInArrow(rows, "signature bigint, n bigint")
@@ -159,15 +196,16 @@ class ParagraphDedup:
 
     def listed(self, shared: DataFrame) -> DataFrame:
         """``(doc_id, text_hash, start, node, bands, before, after)`` of the paragraphs with a shared band."""
-        bands = tuned_bands(self.num / self.den)
+        num, den = self.num, self.den
         known = self.spark.sparkContext.broadcast(filter_words(shared, F.col("signature"), FILTER_BITS))
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for block, data, offsets in text_blocks(batch):
                     found = Paragraphs(data, offsets)
-                    values = found.bands(bands)
-                    some = may_hold(known.value, values.reshape(-1)).reshape(values.shape).any(axis=1)
+                    paragraph, values, _ = found.keys(num, den)
+                    held = may_hold(known.value, values)
+                    some, nth = np.unique(paragraph[held], return_inverse=True)
                     of = pa.array(found.owner[some])
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -175,7 +213,7 @@ class ParagraphDedup:
                             block.column(1).take(of),
                             pa.array((found.places - found.first[found.owner])[some]),
                             pa.array(found.nodes()[0][some]),
-                            _lists(signed(values[some])),
+                            _grouped(nth, signed(values[held]), len(some)),
                             _lists(found.beside(-1)[some]),
                             _lists(found.beside(1)[some]),
                         ],
@@ -223,8 +261,7 @@ class ParagraphDedup:
         place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start", "before", "after")
         nodes = listed.groupBy("node").agg(F.first("bands").alias("bands"), F.min(place).alias("at"), F.count(F.lit(1)).alias("n"))
         nodes = written(self.spark, nodes, "paragraph-nodes")
-        banded = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-        banded = banded.select("node", F.xxhash64("band", "value").alias("signature"))
+        banded = nodes.select("node", F.explode("bands").alias("signature"))
         met = banded.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
         met = written(self.spark, met.where("leader < last").select("signature", "leader"), "bands-met")
         groups = written(self.spark, banded.join(met, "signature").where("node <> leader"), "band-groups")
