@@ -102,6 +102,16 @@ def test_all_but_the_first_are_removed(spark):
         assert cleaned[d].start == "x" and cleaned[d].node == 1
 
 
+def test_overlapping_paragraphs_are_one_occurrence(spark):
+    rng = random.Random(3)
+    passage = [f"q{rng.randrange(10**6)}" for _ in range(1500)]
+    docs = [(d, " ".join([f"d{d}", *passage]), 1, "x") for d in range(4)]
+    places = Paragraphs(*text_bytes(pa.array([docs[0][1]]))).places
+    assert (np.diff(places) == 1).any()
+    spans = ParagraphDedup(spark, spark.createDataFrame(docs, SCHEMA)).spans().collect()
+    assert len(spans) >= 4 and {r.occurrences for r in spans} == {4}
+
+
 def test_words_are_cut_from_a_text():
     text = " one  two\nthree four  five "
     assert without(text, [1], [3]) == " one  four  five "

@@ -122,10 +122,11 @@ class Paragraphs:
             # Similar sets may differ in two shingles each.
             runs, some = np.zeros((len(every), 0), np.uint64), every
         else:
-            runs, some = self.bands(2), every[self.looping()]
+            runs, some = self.bands(2), np.flatnonzero(self.looping())
         again = np.zeros(runs.shape, bool)
         if runs.shape[1]:
             again[1:, 0] = (np.diff(self.places) == 1) & (self.owner[1:] == self.owner[:-1])
+            again[some, 0] = False
         # The least values of sets: as many as may be missing in a set of the threshold's similarity, and one more.
         hashed = np.sort(mix(self.shingles[:, some] + np.uint64(3)), axis=0)
         new = np.ones(hashed.shape, bool)
@@ -195,7 +196,10 @@ class ParagraphDedup:
         return written(self.spark, found, "shared-bands")
 
     def listed(self, shared: DataFrame) -> DataFrame:
-        """``(doc_id, text_hash, start, node, bands, before, after)`` of the paragraphs with a shared band."""
+        """``(doc_id, text_hash, start, node, again, bands, before, after)`` of the paragraphs with a shared band.
+
+        ``again``: whether it is in the cluster of a neighbour that begins a word earlier, with which it is one occurrence.
+        """
         num, den = self.num, self.den
         known = self.spark.sparkContext.broadcast(filter_words(shared, F.col("signature"), FILTER_BITS))
 
@@ -203,7 +207,7 @@ class ParagraphDedup:
             for batch in batches:
                 for block, data, offsets in text_blocks(batch):
                     found = Paragraphs(data, offsets)
-                    paragraph, values, _ = found.keys(num, den)
+                    paragraph, values, again = found.keys(num, den)
                     held = may_hold(known.value, values)
                     some, nth = np.unique(paragraph[held], return_inverse=True)
                     of = pa.array(found.owner[some])
@@ -213,15 +217,16 @@ class ParagraphDedup:
                             block.column(1).take(of),
                             pa.array((found.places - found.first[found.owner])[some]),
                             pa.array(found.nodes()[0][some]),
+                            pa.array(np.isin(some, paragraph[held & again])),
                             _grouped(nth, signed(values[held]), len(some)),
                             _lists(found.beside(-1)[some]),
                             _lists(found.beside(1)[some]),
                         ],
-                        names=["doc_id", "text_hash", "start", "node", "bands", "before", "after"],
+                        names=["doc_id", "text_hash", "start", "node", "again", "bands", "before", "after"],
                     )
 
         schema = (
-            "doc_id bigint, text_hash bigint, start bigint, node bigint, bands array<bigint>, "
+            "doc_id bigint, text_hash bigint, start bigint, node bigint, again boolean, bands array<bigint>, "
             "before array<smallint>, after array<smallint>"
         )
         return written(self.spark, self.light.mapInArrow(rows, schema), "paragraphs")
@@ -259,7 +264,9 @@ class ParagraphDedup:
 
     def _targets(self, listed: DataFrame) -> DataFrame:
         place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start", "before", "after")
-        nodes = listed.groupBy("node").agg(F.first("bands").alias("bands"), F.min(place).alias("at"), F.count(F.lit(1)).alias("n"))
+        nodes = listed.groupBy("node").agg(
+            F.first("bands").alias("bands"), F.min(place).alias("at"), F.count(F.lit(1)).alias("n"), F.count_if("again").alias("again")
+        )
         nodes = written(self.spark, nodes, "paragraph-nodes")
         banded = nodes.select("node", F.explode("bands").alias("signature"))
         met = banded.groupBy("signature").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
@@ -273,7 +280,7 @@ class ParagraphDedup:
 
         # Few nodes are linked with others; all others are their cluster.
         alone = nodes.join(labels, "node", "left_anti").where("n > 1")
-        linked = written(self.spark, nodes.join(labels, "node").select("node", "component", "at", "n"), "linked-nodes")
+        linked = written(self.spark, nodes.join(labels, "node").select("node", "component", "at", (F.col("n") - F.col("again")).alias("n")), "linked-nodes")
         firsts = linked.groupBy("component").agg(F.min("at").alias("to"), F.sum("n").alias("occurrences"))
         linked = linked.select("node", "component").join(firsts, "component")
         return linked.select("node", "to", "occurrences").union(
@@ -286,7 +293,7 @@ class ParagraphDedup:
         doc_id, text_hash, start, to_doc, to_hash, to_start, occurrences, and how many words before and behind both agree.
         """
         listed = self.listed(self.shared())
-        met = listed.drop("bands").join(self.targets(listed), "node")
+        met = listed.drop("bands", "again").join(self.targets(listed), "node")
         same = F.col("doc_id").eqNullSafe(F.col("to.doc_id")) & (F.col("text_hash") == F.col("to.text_hash"))
         apart = F.abs(F.col("start") - F.col("to.start")) >= STRETCH
         met = met.where(~same | apart).select(
