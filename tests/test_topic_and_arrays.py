@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from tidemart.operators.validate import validate_contract_rules
 from tidemart.schema import EVENT_SCHEMA, FIELD_NAMES
 from tidemart.sinks.topic import LandedTopic, kafka_options, kafka_write, topic_records
 from tidemart.sources.adapters import events_as_silver
-from tidemart.sources.json_array import json_array_scan, json_elements
+from tidemart.sources.json_array import array_lines, json_array_scan, json_elements, write_json_array
 from tidemart.sources.lake import event_json_array_scan
 from tidemart.sources.topic import landed_topic_source
 from tidemart.streaming.lakehouse import AVAILABLE_NOW, await_queries
@@ -108,3 +109,28 @@ def test_one_file_over_several_tasks_gives_the_same_rows(spark, tmp_path, small_
     assert pieces.rdd.getNumPartitions() > 5
     expected = event_json_array_scan(spark, str(tmp_path))
     assert sorted(map(repr, frame.collect())) == sorted(map(repr, expected.collect())) and frame.count() == 500
+
+
+@pytest.mark.parametrize("n", [0, 1, 25_000])
+def test_an_array_is_written_in_one_file_as_rows_come(spark, tmp_path, n):
+    elements = [json.dumps({"event_id": f"e{k % 7}", "user_id": NASTY[k % len(NASTY)], "k": k}) for k in range(n)]
+    frame = spark.createDataFrame([(e,) for e in elements], "event string").repartition(5)
+    write_json_array(frame, f"{tmp_path}/a")
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) == 1
+    assert sorted(map(json.dumps, json.loads(files[0].read_text()))) == sorted(elements)
+    assert sorted(r.element for r in json_elements(spark, f"{tmp_path}/a").collect()) == sorted(elements)
+
+
+def test_array_lines_hold_no_more_than_a_batch():
+    """The task that writes the array gives lines back before it has taken all elements."""
+    taken = []
+
+    def batches():
+        for k in range(100):
+            taken.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array([f'{{"k":{k}}}'])], names=["event"])
+
+    lines = array_lines(batches())
+    assert next(lines).to_pylist() == [{"line": '[{"k":0}'}] and len(taken) == 1
+    assert [r["line"] for b in lines for r in b.to_pylist()][-2:] == [',{"k":99}', "]"]

@@ -57,7 +57,7 @@ from tidemart.sources.adapters import (
     parts_as_products,
     raw_topic_feed,
 )
-from tidemart.sources.json_array import json_array_scan
+from tidemart.sources.json_array import json_array_scan, write_json_array
 from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
 from tidemart.sources.topic import landed_topic_source
 from tidemart.streaming.id_index import IdIndex
@@ -245,12 +245,8 @@ def _event_json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events from one file that holds a single array."""
     path = scratch_dir(spark, "json-array")
     options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-    events = events_as_silver(spark, sf_dir).select("event_id", F.to_json(F.struct(*FIELD_NAMES), options).alias("event"))
-    first = events.agg(F.min("event_id")).first()[0]
-    opens = F.col("event_id") == first
-    lines = events.select(F.when(opens, 0).otherwise(1).alias("nth"), F.concat(F.when(opens, "[").otherwise(","), "event").alias("line"))
-    lines = lines.union(spark.createDataFrame([(2, "]")], "nth int, line string"))
-    lines.coalesce(1).sortWithinPartitions("nth").select("line").write.text(path)
+    events = events_as_silver(spark, sf_dir).select(F.to_json(F.struct(*FIELD_NAMES), options).alias("event"))
+    write_json_array(events, path)
     return shown(json_array_scan(spark, path, EVENT_SCHEMA))
 
 

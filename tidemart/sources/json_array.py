@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,6 +126,25 @@ def json_elements(spark: SparkSession, path: str) -> DataFrame:
     return whole.union(across.select(F.array_join("parts.text", "").alias("element")))
 
 
+def array_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of one array of the given elements, in their order; no more than a batch is held."""
+    before = "["
+    for batch in batches:
+        if batch.num_rows:
+            marks = pa.array([before] + [","] * (batch.num_rows - 1))
+            before = ","
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column(0).cast(pa.string()), "")], names=["line"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], names=["line"])
+
+
+def write_json_array(elements: DataFrame, path: str) -> None:
+    """Write JSON texts, the frame's only column, as one file with a single array.
+
+    Many tasks make the elements; the one that writes the file takes them as they come, without sorting or keeping them.
+    """
+    elements.repartition(1).mapInArrow(array_lines, "line string").write.text(path)
+
+
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 4
     types = (pa.string(), pa.int64(), pa.int32(), pa.string())
