@@ -303,3 +303,16 @@ def test_a_range_is_replaced_with_all_its_days(spark, tmp_path):
         ):
             assert {str(r.event_date) for r in frame.collect()} == {"2025-01-01"}
         assert spark.table("staging_r.user_events_silver").count() == 2
+
+
+def test_ranged_rebuild_query_makes_its_feed_once(spark, monkeypatch):
+    """What is dated late is judged from the Bronze that was written, and its days are not found by judging it again."""
+    from tidemart.plans import registry
+
+    made, judged = [], []
+    feed, rules = registry.raw_topic_feed, registry.validate_contract_rules
+    monkeypatch.setattr(registry, "raw_topic_feed", lambda *given: made.append(1) or feed(*given))
+    monkeypatch.setattr(registry, "validate_contract_rules", lambda rows: judged.append(rows.inputFiles()) or rules(rows))
+    rows = registry.QUERIES["rebuild_silver_range"](spark, "/root/testdata/sf0.001")
+    assert len(made) == 1 and len(judged) == 1
+    assert all("/bronze/" in file for file in judged[0]) and rows.count() > 0

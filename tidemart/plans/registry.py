@@ -58,7 +58,7 @@ from tidemart.sources.adapters import (
     raw_topic_feed,
 )
 from tidemart.sources.json_array import json_array_scan, write_json_array
-from tidemart.sources.lake import event_json_array_scan, product_dim_scan, silver_scan
+from tidemart.sources.lake import bronze_scan, event_json_array_scan, product_dim_scan, silver_scan
 from tidemart.sources.topic import landed_topic_source
 from tidemart.streaming.id_index import IdIndex
 from tidemart.streaming.lakehouse import AVAILABLE_NOW, await_queries, start_lakehouse
@@ -666,9 +666,11 @@ def _rebuild_silver_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver that was dated a day late, rebuilt for its whole range of days: the last one is gone."""
     paths = LakePaths(scratch_dir(spark, "lake"))
     overwrite_by_date(bronze(spark, sf_dir), paths.bronze)
-    valid = route_valid(validate_contract_rules(bronze(spark, sf_dir)))
+    valid = route_valid(validate_contract_rules(bronze_scan(spark, paths.bronze)))
     published(_a_day_late(valid), paths.rebuilt_silver)
-    start, end = valid.agg(F.min("event_date"), F.date_add(F.max("event_date"), 1)).first()
+    # The days of the valid rows and the one after them, from the days that were written.
+    late = dataset(spark, paths.rebuilt_silver)
+    start, end = late.agg(F.date_sub(F.min("event_date"), 1), F.max("event_date")).first()
     rebuild_silver_from_bronze(spark, paths.bronze, paths.rebuilt_silver, start, end)
     return shown(dataset(spark, paths.rebuilt_silver))
 
