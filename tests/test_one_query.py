@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import glob
+from datetime import datetime
+
 import pytest
 
 from tests.test_streaming import Delivery, at
 from tests.samples import payload
+from tidemart.operators.dedup import batch_dedup_any
+from tidemart.plans import registry
 from tidemart.plans.rebuild import rebuild_silver_changes, rebuild_silver_from_bronze
+from tidemart.schema import TOPIC_SCHEMA
 from tidemart.sinks.lake import STREAM_BATCH
 from tidemart.sinks.releases import dataset
 from tidemart.sources.topic import landed_topic_source
@@ -110,6 +116,43 @@ def test_bronze_is_ready_for_incremental_rebuilds(delivery):
     assert "stream_batch" not in dataset(delivery.spark, delivery.paths.rebuilt_silver).columns
 
 
+def test_only_invalid_rows_keep_their_payload_in_the_work_table(delivery):
+    deliveries(delivery)
+    found = {}
+
+    def after(step):
+        if step == "judged":
+            for folder in glob.glob(f"{delivery.paths.root}/work/*/judged"):
+                rows = delivery.spark.read.parquet(folder).collect()
+                found[folder] = [(bool(r.validation_errors), r.raw_payload is not None) for r in rows]
+
+    delivery.run(after=after)
+    rows = [row for folder in found.values() for row in folder]
+    assert len(rows) == 13 and all(invalid == kept for invalid, kept in rows)
+    shown = delivery.spark.read.parquet(delivery.paths.quarantine).collect()
+    assert len(shown) == 2 and all(r.raw_payload for r in shown) and "{broken" in [r.raw_payload for r in shown]
+
+
+def test_the_one_query_takes_the_configured_partitions(spark, monkeypatch):
+    """A fixed number would give each task a share that grows with the input."""
+    started = []
+
+    def start(records, paths, trigger, buckets):
+        started.append((records.sparkSession.conf.get("spark.sql.shuffle.partitions"), buckets))
+        return start_lakehouse_once(records, paths, trigger, buckets=buckets)
+
+    monkeypatch.setattr(registry, "start_lakehouse_once", start)
+    feed = spark.createDataFrame([(b"a", b"{", "t", 0, 0, datetime(2024, 1, 1))], TOPIC_SCHEMA)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        paths, _ = registry._one_query(spark, feed)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert started == [("11", 11)]
+    assert spark.read.parquet(paths.quarantine).count() == 1
+
+
 def ids(spark, *values):
     return spark.createDataFrame([(v,) for v in values], "event_id string")
 
@@ -140,6 +183,20 @@ def test_the_index_survives_and_folds(spark, tmp_path):
         index.forget()
 
 
+def test_a_look_up_does_not_work_out_its_rows_twice(spark, tmp_path):
+    index = IdIndex(spark, f"{tmp_path}/ids", 4)
+    try:
+        index.add(ids(spark, "a"), 0)
+        arrived = ids(spark, "a", "b", "b", None)
+        first = batch_dedup_any(arrived)
+        split = index.split(first, 1, asked=arrived)
+        assert sorted((r.event_id or "", r.known) for r in split.collect()) == [("", False), ("a", True), ("b", False)]
+        plan = index.split(first, 1, asked=arrived)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") == 1
+    finally:
+        index.forget()
+
+
 def test_a_large_batch_leaves_the_index_where_it_lies(spark, tmp_path):
     index = IdIndex(spark, f"{tmp_path}/ids", 8)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -36,6 +36,8 @@ REWRITES = (
     (r"([+-]\d{2})(\d{2})\z", "$1:$2"),
 )
 WEEK_DATE = r"^(\d{4})-?W(\d{2})-?(\d)(.*)\z"
+# Fixed value: text whose only closing brace ends it, but for white space of JSON.
+ONE_BRACE = r"\A[^}]*+[}][ \t\r\n]*+\z"
 # Fixed value: decimal number text, as accepted for an amount.
 NUMBER = r"^[+-]?(\d+([.]\d*)?|[.]\d+)([eE][+-]?\d+)?\z"
 # Fixed value: white space around number text.

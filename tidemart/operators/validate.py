@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from tidemart.functions.columns import (
     AROUND,
-    BLANK,
     LARGEST_AMOUNT,
     NUMBER,
+    ONE_BRACE,
     compact_errors,
     is_blank,
     is_purchase,
@@ -115,9 +115,10 @@ def _malformed() -> Column:
     none at its end, is there anything behind it to be judged, and the whole payload parsed again.
     """
     text = F.coalesce(F.col("raw_payload"), F.lit(""))
-    nothing = text.rlike(BLANK)
-    more = F.instr(text, "}") != F.length(F.rtrim(text, F.lit(" \t\r\n")))
-    return F.col(_CORRUPT).isNotNull() | nothing | F.when(more, ~_is_one_value(text)).otherwise(F.lit(False))
+    # Without its last byte: most payloads end in their only closing brace, and need no pattern match.
+    before = F.substring(text.cast("binary"), F.lit(1), F.octet_length(text) - 1).cast("string")
+    more = F.when(text.endswith("}"), before.contains("}")).otherwise(~text.rlike(ONE_BRACE))
+    return F.col(_CORRUPT).isNotNull() | is_blank(text) | F.when(more, ~_is_one_value(text)).otherwise(F.lit(False))
 
 
 def _is_one_value(text: Column) -> Column:

@@ -576,12 +576,14 @@ def _one_query(spark: SparkSession, *deliveries: DataFrame) -> tuple[LakePaths,
     """The one-query form over a topic, restarted from its checkpoint for each delivery."""
     paths = LakePaths(scratch_dir(spark, "lake"))
     topic = scratch_dir(spark, "topic")
-    session = stream_session(spark, STATE_PARTITIONS)
+    # This form keeps no state in partitions: as many as are configured, so that a task's share does not grow.
+    session = stream_session(spark)
+    buckets = int(session.conf.get("spark.sql.shuffle.partitions"))
     for delivery in deliveries:
         delivery.write.mode("append").parquet(topic)
         records = landed_topic_source(session, topic)
-        await_queries([start_lakehouse_once(records, paths, AVAILABLE_NOW, buckets=STATE_PARTITIONS)])
-    IdIndex(session, paths.known_ids, STATE_PARTITIONS).forget()
+        await_queries([start_lakehouse_once(records, paths, AVAILABLE_NOW, buckets=buckets)])
+    IdIndex(session, paths.known_ids, buckets).forget()
     return paths, session
 
 

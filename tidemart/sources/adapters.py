@@ -39,8 +39,10 @@ def _numbered(prefix: str, column: Column) -> Column:
     return F.concat(F.lit(prefix), column.cast("string"))
 
 
-def _numbered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver rows plus the source's row number ``n`` and amount ``value``."""
+def _numbered_silver(spark: SparkSession, sf_dir: str, delays: Column | None = None) -> DataFrame:
+    """Silver rows plus the source's row number ``n`` and amount ``value``; with ``delays``, an array made from
+    ``n``, one row per ``delay`` in it. Rows are multiplied first, so that a filter on ``delay`` comes before the texts.
+    """
     stages = F.create_map(*(F.lit(item) for pair in STAGE_OF.items() for item in pair))
     base = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         F.col("event_id").alias("n"),
@@ -50,6 +52,8 @@ def _numbered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("k"),
         F.element_at(stages, F.col("event_type")).alias("event_type"),
     )
+    if delays is not None:
+        base = base.withColumn("delay", F.explode(delays))
     purchase = F.col("event_type") == PURCHASE
     noon_day = F.date_format(F.col("event_time") - F.expr("INTERVAL 12 HOURS"), "yyyyMMdd")
     return base.select(
@@ -69,6 +73,7 @@ def _numbered_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("event_time").alias("event_date"),
         "n",
         "value",
+        *([] if delays is None else ["delay"]),
     )
 
 
@@ -104,7 +109,7 @@ def raw_topic_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         return residue.isin(*residues)
 
     delays = F.when(fault(10, 11, 12), F.array(F.lit(0), F.lit(5))).otherwise(F.array(F.lit(0)))
-    sent = _numbered_silver(spark, sf_dir).withColumn("delay", F.explode(delays))
+    sent = _numbered_silver(spark, sf_dir, delays)
     sent = sent.withColumn(
         "ingest_time", F.col("ingest_time") + F.make_interval(secs=F.col("delay"))
     )

@@ -46,9 +46,13 @@ class IdIndex:
         last = F.when(F.col(STREAM_BATCH) < 0, -F.col(STREAM_BATCH) - 1).otherwise(F.col(STREAM_BATCH))
         return self.spark.table(self.table).where(last < batch).select("event_id")
 
-    def split(self, rows: DataFrame, batch: int) -> DataFrame:
-        """``rows`` with a column ``known``: whether their id came in an earlier batch. A null id is never known."""
-        asked = rows.select("event_id").distinct()
+    def split(self, rows: DataFrame, batch: int, asked: DataFrame | None = None) -> DataFrame:
+        """``rows`` with a column ``known``: whether their id came in an earlier batch. A null id is never known.
+
+        The ids are read once more for the look-up: from ``asked``, where a frame that has all of them (and maybe
+        more) is cheaper to read than ``rows``.
+        """
+        asked = (rows if asked is None else asked).select("event_id").distinct()
         known = self.before(batch).join(asked, "event_id", "left_semi").distinct().withColumn("known", F.lit(True))
         return rows.join(known, "event_id", "left").withColumn("known", F.coalesce("known", F.lit(False)))
 

@@ -36,6 +36,7 @@ from tidemart.streaming.lakehouse import watermark_minutes
 LAYER = "lakehouse"
 COUNTS = ("records", "quarantine", "silver", "late", "repeated")
 FOLD_EVERY = 50
+TASK_BYTES = "16m"
 
 
 def _progress_folder(paths: LakePaths) -> str:
@@ -86,11 +87,16 @@ class BatchWriter:
     def __call__(self, records: DataFrame, batch: int) -> None:
         spark, paths = records.sparkSession, self.paths
         work = f"{paths.root}/work/{LAYER}-batch-{batch:012d}"
+        # In the query's own session: judging is slow for its bytes, so tasks of the usual size would end far apart.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", TASK_BYTES)
         write_batch(bronze_projection(records), paths.bronze, batch)
         self.after("bronze")
 
         bronze = spark.read.schema(_stored(BRONZE_SCHEMA)).parquet(paths.bronze)
         judged = RULE_SETS[self.rules](bronze.where(F.col(STREAM_BATCH) == batch).drop(STREAM_BATCH))
+        # Of the rows that are read from here on, only Quarantine's show their payload.
+        invalid = F.size("validation_errors") > 0
+        judged = judged.withColumn("raw_payload", F.when(invalid, F.col("raw_payload")))
         judged.write.mode("overwrite").parquet(f"{work}/judged")
         judged = spark.read.schema(judged.schema).parquet(f"{work}/judged")
         self.after("judged")
@@ -102,10 +108,9 @@ class BatchWriter:
         valid = route_valid(judged, keep=("partition", "offset"))
         late = F.lit(False) if reached is None else F.unix_micros("event_time") <= reached
         first = dedup_latest(valid).drop("partition", "offset").withColumn("late", late)
-        split = self.index.split(first, batch)
-        split.write.mode("overwrite").parquet(f"{work}/valid")
-        split = spark.read.schema(split.schema).parquet(f"{work}/valid")
-        new = split.where("not known").drop("known")
+        new = self.index.split(first, batch, asked=valid).where("not known").drop("known")
+        new.write.mode("overwrite").parquet(f"{work}/valid")
+        new = spark.read.schema(new.schema).parquet(f"{work}/valid")
         write_batch(new.where("not late").drop("late"), paths.stream_silver, batch)
         self.after("silver")
         write_batch(new.where("late").drop("late"), paths.late, batch)
